@@ -32,3 +32,49 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op2_substring_dedup"] = op2_substring_dedup
+
+
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from orrery.llm.chat_format import format_conversations, read_back
+
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = F.lit("\\### Assistant: </turn> ok").alias("text")
+    extra = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), said)
+    back = read_back(format_conversations(rows.unionByName(extra)))
+    whole = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return back.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(whole, 256).alias("turns_sha256"),
+        F.char_length("learned").cast("long").alias("loss_chars"),
+        F.sha2("learned", 256).alias("loss_sha256"),
+        F.char_length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+QUERIES["op3_chat_format"] = op3_chat_format
+ORACLES["op3_chat_format"] = r"""
+with rows as (
+  select conv_id, turn, role, coalesce(text, '') as text from conversations
+  union all select -7, 0, 'user', '\### Assistant: </turn> ok'
+  union all select -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+t as (
+  select *, replace(replace(replace(text, '\', '\0'), '###', '\1'), '</turn>', '\2') as safe from rows)
+select conv_id, count(*) as n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+  cast(coalesce(sum(case when role = 'assistant' then length(text) end), 0) as bigint) as loss_chars,
+  sha256(coalesce(string_agg(case when role = 'assistant' then text end, '' order by turn, role, text), '')) as loss_sha256,
+  cast(sum(4 + length(role) + 2 + length(safe) + 8) as bigint) as formatted_chars
+from t group by conv_id
+"""
+
+
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from orrery.llm.quality_rules import judge_quality
+
+    return judge_quality(_table(spark, sf_dir, "documents"))
+
+
+QUERIES["op4_quality_rules"] = op4_quality_rules
