@@ -78,3 +78,32 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op4_quality_rules"] = op4_quality_rules
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from orrery.llm.language_id import fit_language_model, predict_language
+
+    docs = _table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    model = fit_language_model(docs.where(~held_out).select("doc_id", "text", "lang"), most_rows=6000)
+    return predict_language(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
+QUERIES["op5_language_id"] = op5_language_id
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from pyspark.sql import functions as F
+
+    from orrery.llm.shared import Workspace
+    from orrery.llm.token_counts import CountCache
+
+    cache = CountCache(spark, Workspace(spark, "counts").path("cache"))
+    counts = cache.count(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"))
+
+
+QUERIES["op7_token_counts"] = op7_token_counts
