@@ -107,3 +107,24 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op7_token_counts"] = op7_token_counts
+
+
+def op8_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from orrery.llm.token_binary import read_token_files, token_files
+
+    root, files = token_files(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
+    return read_token_files(files, root)
+
+
+QUERIES["op8_token_binary"] = op8_token_binary
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from orrery.llm.warc import read_archives, write_archives
+
+    return read_archives(*write_archives(_table(spark, sf_dir, "pages")))
+
+
+QUERIES["op10_warc"] = op10_warc
