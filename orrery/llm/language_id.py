@@ -79,6 +79,24 @@ def codewords(k: int, seed: int = 7) -> np.ndarray:
     return best
 
 
+def conjugate_gradients(a: np.ndarray, b: np.ndarray, rounds: int = 300, tolerance: float = 1e-6) -> np.ndarray:
+    """x with a @ x = b, column by column, for a symmetric positive definite."""
+    x, r = np.zeros_like(b), b.copy()
+    p, size = r.copy(), (b * b).sum(axis=0)
+    rr = size.copy()
+    for _ in range(rounds):
+        if (rr <= tolerance**2 * np.maximum(size, 1e-300)).all():
+            break
+        ap = a @ p
+        step = rr / np.maximum((p * ap).sum(axis=0), 1e-300)
+        x += step * p
+        r -= step * ap
+        new = (r * r).sum(axis=0)
+        p = r + new / np.maximum(rr, 1e-300) * p
+        rr = new
+    return x
+
+
 class CodeModel:
     """Weights of the bits, their reliabilities, the code and the languages; small enough for a closure."""
 
@@ -96,7 +114,8 @@ class CodeModel:
             a = x[rows].astype(np.float64)
             share = 1.0 / np.maximum(np.bincount(y[rows], minlength=len(languages)), 1)[y[rows]]
             share *= len(a) / share.sum()
-            return np.linalg.solve((a * share[:, None]).T @ a + ridge * np.eye(a.shape[1]), (a * share[:, None]).T @ code[y[rows]])
+            weighted = (a * share[:, None]).T
+            return conjugate_gradients(weighted @ a + ridge * np.eye(a.shape[1]), weighted @ code[y[rows]])
 
         trust = np.ones(code.shape[1])
         if part.any():

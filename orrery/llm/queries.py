@@ -128,3 +128,14 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op10_warc"] = op10_warc
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from orrery.llm.packing import pack_documents
+
+    return pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=1, length=2048)
+
+
+QUERIES["op6_packing"] = op6_packing
