@@ -139,3 +139,12 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op6_packing"] = op6_packing
+
+
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from orrery.llm.decontamination import benchmark_matches
+
+    return benchmark_matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+QUERIES["op9_benchmark_decontamination"] = op9_benchmark_decontamination

@@ -78,10 +78,10 @@ def pieces(at: np.ndarray, size: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]
 class Words:
     """Words of some rows: ``start``/``end`` byte positions in ``data``, ``of`` row bounds as word indices, ``hash``."""
 
-    def __init__(self, data: np.ndarray, at: np.ndarray, fold: bool):
+    def __init__(self, data: np.ndarray, at: np.ndarray, fold: bool, breaks: np.ndarray | None = None):
         at = at - at[0]
         n = len(data)
-        space = (data == 32) | ((data >= 9) & (data <= 13))
+        space = (data == 32) | ((data >= 9) & (data <= 13)) if breaks is None else breaks[data]
         word = ~space
         first, last = word.copy(), word.copy()
         first[1:] &= space[:-1]
@@ -134,8 +134,11 @@ class Words:
         return mix((total[begin + n] - total[begin]) * back[begin] + U(n)), inside, bounds
 
 
-def chunks(batch: pa.RecordBatch, fold: bool, text: int = 1, size: int = CHUNK_BYTES) -> Iterator[tuple[int, int, Words]]:
-    """(first row, end row, Words) over an Arrow batch whose column ``text`` holds the texts."""
+def chunks(batch: pa.RecordBatch, fold: bool, text: int = 1, size: int = CHUNK_BYTES, breaks: np.ndarray | None = None) -> Iterator[tuple[int, int, Words]]:
+    """(first row, end row, Words) over an Arrow batch whose column ``text`` holds the texts.
+
+    breaks: the bytes between words as 256 flags, where they aren't space and 09-0D.
+    """
     data, at = buffers(batch.column(text))
     for lo, hi in pieces(at, size):
-        yield lo, hi, Words(data[at[lo] : at[hi]], at[lo : hi + 1], fold)
+        yield lo, hi, Words(data[at[lo] : at[hi]], at[lo : hi + 1], fold, breaks)
