@@ -50,13 +50,13 @@ def repeated_window_words(words: Column, n: int = 8) -> Column:
     return F.when(F.size(words) <= n, F.lit(0)).otherwise(let(hashes, covered))
 
 
-def common_words(docs: DataFrame, per_language: int = 24, longest: int = 5, most_languages: int = 64) -> DataFrame:
+def common_words(ws: Workspace, docs: DataFrame, per_language: int = 24, longest: int = 5, most_languages: int = 64) -> DataFrame:
     """(lang, words): the most frequent words of at most ``longest`` letters; the commonest languages, and ANY for all."""
     short = docs.select(
         F.coalesce("lang", F.lit(ANY)).alias("lang"),
         F.explode(F.transform(F.filter(word_array(F.col("text")), lambda w: F.char_length(w) <= longest), lambda w: F.lower(w))).alias("word"),
     ).where(F.col("word").rlike("^\\p{L}+$"))
-    counts = short.groupBy("lang", "word").agg(F.count("*").alias("n"))
+    counts = ws.save(short.groupBy("lang", "word").agg(F.count("*").alias("n")), "words")
     by = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
     total = counts.groupBy("word").agg(F.sum("n").alias("n")).select(F.lit(ANY).alias("lang"), "word", "n")
     ranked = counts.where(F.col("lang") != ANY).unionByName(total).withColumn("place", F.row_number().over(by)).where(F.col("place") <= per_language)
@@ -136,7 +136,7 @@ def judge_quality(
     spark = docs.sparkSession
     ws = Workspace(spark, "quality")
     docs = docs.select("doc_id", F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
-    lists = [(r["lang"], r["words"]) for r in common_words(docs, per_language).collect()]  # at most 64 rows of 24 words
+    lists = [(r["lang"], r["words"]) for r in common_words(ws, docs, per_language).collect()]  # at most 64 rows of 24 words
     features = ws.save(text_features(docs, lists, window), "features")
     size = max([per_language, *(len(w) for _, w in lists)]) + 1
     sums = [_mean("char_hist", 7).alias("char_ref"), _mean("word_hist", size).alias("word_ref"), F.count("*").alias("docs")]
