@@ -37,8 +37,10 @@ BLOCK_IDS = 1_000_000
 LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3).astype(np.uint8) + 1
 
 
-def encode_block(doc_ids: list[int], documents: list[np.ndarray]) -> bytes:
-    ids = np.concatenate(documents)
+def encode_block(doc_ids: list[int], documents: list[np.ndarray], end_id: int) -> bytes:
+    """A block of documents, each followed by the end id."""
+    end = np.array([end_id], np.uint32)
+    ids = np.concatenate([part for d in documents for part in (d, end)])
     counts = np.bincount(ids)
     by_rank = np.argsort(-counts, kind="stable")[: int((counts > 0).sum())].astype(np.uint32)
     rank_of = np.zeros(len(counts), np.uint32)
@@ -48,9 +50,9 @@ def encode_block(doc_ids: list[int], documents: list[np.ndarray]) -> bytes:
     codes = np.zeros(-(-len(rank) // 4) * 4, np.uint8)
     codes[: len(rank)] = length - 1
     control = (codes[0::4] | codes[1::4] << 2 | codes[2::4] << 4 | codes[3::4] << 6).astype(np.uint8)
-    as_bytes = rank.astype("<u4").view(np.uint8).reshape(-1, 4)
-    data = as_bytes[np.arange(4) < length[:, None]]
-    names = np.array(doc_ids, "<i8").tobytes() + np.array([len(d) for d in documents], "<i8").tobytes()
+    wide = int(length.max())
+    data = rank.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :wide][np.arange(wide) < length[:, None]]
+    names = np.array(doc_ids, "<i8").tobytes() + np.array([len(d) + 1 for d in documents], "<i8").tobytes()
     head = HEAD.pack(MAGIC, len(doc_ids), len(ids), len(by_rank), len(names), len(control), len(data))
     return head + names + by_rank.astype("<u4").tobytes() + control.tobytes() + data.tobytes()
 
@@ -90,15 +92,15 @@ def _write(root: str, tokenizer_path: str, end_id: int):
                 for lo, hi in pieces(at, 1_000_000):
                     for doc, found in zip(ids[lo:hi], encoder.encode(batch.column(1).slice(lo, hi - lo).to_pylist())):
                         held[0].append(doc)
-                        held[1].append(np.append(found, np.uint32(end_id)))
+                        held[1].append(found)
                         size += len(found) + 1
                         totals[0] += 1
                         totals[1] += len(found) + 1
                         if size >= BLOCK_IDS:
-                            out.write(encode_block(*held))
+                            out.write(encode_block(*held, end_id))
                             held, size = ([], []), 0
             if held[0]:
-                out.write(encode_block(*held))
+                out.write(encode_block(*held, end_id))
 
         name = f"part-{part:06d}.tok"
         put(root, name, blocks)
@@ -123,7 +125,8 @@ def _read(root: str):
                     while (block := decode_block(stream)) is not None:
                         docs, lengths, ids = block
                         ends = np.cumsum(lengths)
-                        sums = [zlib.crc32(ids[a:b].astype("<u4").tobytes()) for a, b in zip((ends - lengths).tolist(), ends.tolist())]
+                        raw = memoryview(ids.astype("<u4", copy=False)).cast("B")
+                        sums = [zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip((ends - lengths).tolist(), ends.tolist())]
                         yield pa.RecordBatch.from_arrays([pa.array(docs), pa.array(start + ends - lengths), pa.array(lengths), pa.array(sums, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
                         start += int(ends[-1])
 
