@@ -15,6 +15,8 @@ from operator import itemgetter
 
 import numpy as np
 
+from orrery.llm.wordhash import FORGET
+
 #: Pieces of the younger half of the table; the two halves take about 250 MB of a worker at most.
 HALF = 600_000
 #: Characters on which the pattern below is the library's: ASCII, Latin letters, common punctuation.
@@ -31,6 +33,7 @@ def _byte_letters() -> dict[int, str]:
 
 LETTERS = _byte_letters()
 _ENCODERS: dict[str, "PieceEncoder"] = {}
+FORGET.append(_ENCODERS.clear)
 
 
 class PieceTable(dict):

@@ -39,10 +39,12 @@ SPANS = "array<struct<start:int,end:int>>"
 
 def _profile(batches):
     for batch in batches:
-        texts = batch.column(1).to_pylist()
-        words = [(t or "").encode().split() for t in texts]
-        sums = [hashlib.blake2b(b" ".join(w), digest_size=16).hexdigest() for w in words]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(w) for w in words], pa.int64()), pa.array(sums, pa.string())], names=["doc_id", "n_words", "content"])
+        counts, sums = [], []
+        for k in range(batch.num_rows):  # the words of one text at a time
+            words = (batch.column(1)[k].as_py() or "").encode().split()
+            counts.append(len(words))
+            sums.append(hashlib.blake2b(b" ".join(words), digest_size=16).hexdigest())
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(sums, pa.string())], names=["doc_id", "n_words", "content"])
 
 
 def window_anchors(words: Words, n: int, g: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

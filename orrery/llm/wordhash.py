@@ -7,6 +7,7 @@ finished by a multiply-xorshift mix; they depend on nothing but the words.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -134,11 +135,26 @@ class Words:
         return mix((total[begin + n] - total[begin]) * back[begin] + U(n)), inside, bounds
 
 
+#: What a worker that turns to other work may forget; modules with large tables add theirs.
+FORGET: list = []
+
+
+def forget() -> None:
+    """Drops the tables that earlier tasks of other operators left in this worker and gives free memory back."""
+    for drop in FORGET:
+        drop()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def chunks(batch: pa.RecordBatch, fold: bool, text: int = 1, size: int = CHUNK_BYTES, breaks: np.ndarray | None = None) -> Iterator[tuple[int, int, Words]]:
     """(first row, end row, Words) over an Arrow batch whose column ``text`` holds the texts.
 
     breaks: the bytes between words as 256 flags, where they aren't space and 09-0D.
     """
+    forget()
     data, at = buffers(batch.column(text))
     for lo, hi in pieces(at, size):
         yield lo, hi, Words(data[at[lo] : at[hi]], at[lo : hi + 1], fold, breaks)
