@@ -154,13 +154,16 @@ def ngram_jaccard_components(
         .withColumn("s", F.count("*").over(own))
         .withColumn("place", F.row_number().over(own.orderBy("df", "token")))
         .where((F.col("s") * den >= F.col("n") * num) & (F.col("place") <= F.col("n") - least + 1 - (F.col("n") - F.col("s"))))
-        .select("token", "rep", "n", "s")
+        .select("token", "rep", "n", "s", "place")
     )
     post = ws.save(post, "post")
 
-    def fits(a: str, b: str):
-        """Whether sizes and the numbers of tokens that anyone shares allow the threshold."""
-        common = F.least(f"{a}.s", f"{b}.s")
+    def fits(a: str, b: str, first: bool = False):
+        """Whether sizes and the numbers of tokens that anyone shares allow the threshold.
+
+        first: the token at hand is the first that the two share, so none before it counts.
+        """
+        common = F.least(*[F.expr(f"{x}.s - {x}.place + 1") if first else F.col(f"{x}.s") for x in (a, b)])
         return common * den >= (F.col(f"{a}.n") + F.col(f"{b}.n") - common) * num
 
     def prefix(x: str):
@@ -174,11 +177,11 @@ def ngram_jaccard_components(
         common = F.size(F.array_intersect("x.tokens", "y.tokens"))
         return both.where(common * den >= (F.col("x.n") + F.col("y.n") - common) * num).select("a", "b")
 
-    # step 1: each document against the two leaders that most of its lists name
+    # step 1: each document against the three leaders that most of its lists name
     lead = post.groupBy("token").agg(F.min(F.struct((F.col("n") - F.col("s")).alias("u"), "rep", "n", "s")).alias("x"), F.count("*").alias("size")).where("size > 1").select("token", "x")
     vote = post.alias("y").join(lead, "token").where((F.col("y.rep") != F.col("x.rep")) & fits("x", "y"))
     vote = vote.groupBy(F.col("y.rep").alias("b"), F.col("x.rep").alias("a")).count()
-    vote = vote.withColumn("best", F.row_number().over(Window.partitionBy("b").orderBy(F.desc("count"), "a"))).where("best <= 2")
+    vote = vote.withColumn("best", F.row_number().over(Window.partitionBy("b").orderBy(F.desc("count"), "a"))).where("best <= 3")
     links = ws.save(linked(vote.select("a", "b")), "links-1")
     reps = post.select(F.col("rep").alias("v"))
     comp = ws.save(components(ws, links, reps, "round-1"), "comp-1")
@@ -187,7 +190,7 @@ def ngram_jaccard_components(
     here = post.join(comp.withColumnRenamed("v", "rep"), "rep")
     open_ = here.groupBy("token").agg(F.min("component").alias("c"), F.max("component").alias("d")).where("c <> d").select("token")
     here = here.join(open_, "token", "left_semi")
-    signs = here.groupBy("rep").agg(F.array_sort(F.collect_set("token")).alias("signs"))
+    signs = here.groupBy("rep").agg(F.transform(F.array_sort(F.collect_set(F.struct("place", "token"))), lambda t: t["token"]).alias("signs"))
     here = ws.save(here.join(signs, "rep"), "open")
     x, y = here.alias("x"), here.alias("y")
     rest = x.join(
@@ -195,7 +198,7 @@ def ngram_jaccard_components(
         (F.col("x.token") == F.col("y.token"))
         & (F.col("x.rep") < F.col("y.rep"))
         & (F.col("x.component") != F.col("y.component"))
-        & fits("x", "y")
+        & fits("x", "y", first=True)
         & (F.element_at(F.array_intersect("x.signs", "y.signs"), 1) == F.col("x.token")),
     ).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
     links = ws.save(links.union(linked(rest)), "links-2")
