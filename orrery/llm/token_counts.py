@@ -74,7 +74,9 @@ class CountCache:
         missing = asked.join(self.stored(version).select("content"), "content", "left_anti")
         first = missing.groupBy("content").agg(F.min("doc_id").alias("doc_id"))
         texts = keep_ids(docs.where("doc_id is not null"), first.where("doc_id is not null").select("doc_id"), "doc_id")
-        texts = texts.unionByName(docs.where("doc_id is null"))
+        nameless = docs.where("doc_id is null").withColumn("content", F.unhex(F.sha2("text", 256)))
+        nameless = nameless.join(first.where("doc_id is null").select("content"), "content", "left_semi").dropDuplicates(["content"])
+        texts = texts.unionByName(nameless.select("doc_id", "text"))
         fresh = texts.select(F.unhex(F.sha2("text", 256)).alias("content"), "text").mapInArrow(_count(tokenizer_path), "content binary, n_tokens long")
         fresh.select("content", F.lit(version).alias("tokenizer"), "n_tokens").write.mode("append").parquet(self.path)
         return asked.join(self.stored(version), "content").select("doc_id", "n_bytes", "n_tokens")
