@@ -81,11 +81,28 @@ def _anchors(n: int, g: int):
     return run
 
 
+def progressions(window: np.ndarray, check: np.ndarray, doc: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first row, step, times) of runs of equally spaced places of one window in one document; rows sorted by all four."""
+    m = len(window)
+    if not m:
+        return np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int32)
+    gap = np.diff(at, prepend=at[:1])
+    head = np.concatenate(([True], (window[1:] != window[:-1]) | (check[1:] != check[:-1]) | (doc[1:] != doc[:-1])))
+    cut = head.copy()
+    cut[1:] |= ~head[:-1] & (gap[1:] != gap[:-1])
+    begin = np.flatnonzero(cut)
+    times = np.diff(np.append(begin, m))
+    step = np.where(times > 1, gap[np.minimum(begin + 1, m - 1)], 1)
+    return begin, step.astype(np.int32), times.astype(np.int32)
+
+
 def _windows(n: int, g: int):
-    """Rows (window, check, doc_id, at, run) of windows whose anchor is one of the row's ``fps``.
+    """Rows (window, check, doc_id, at, step, times, known) of windows whose anchor is one of the row's ``fps``.
 
-    Of a window that several documents of an Arrow batch hold, the smallest document's row is given;
-    for the others come rows with run > 0: so many windows from ``at`` on are known to be repeated.
+    A row stands for ``times`` places of the window in its document, ``step`` words apart from ``at`` on,
+    so a line that one document repeats makes a few rows however often it does. Of a window that several
+    documents of an Arrow batch hold, the smallest document's rows are given; for the others come rows
+    with ``known``: ``times`` neighbouring windows from ``at`` on that are repeated whatever the window.
     """
 
     def run(batches):
@@ -121,16 +138,20 @@ def _windows(n: int, g: int):
             length = np.diff(np.concatenate((np.flatnonzero(cut), [len(d)]))).astype(np.int32) if len(d) else np.zeros(0, np.int32)
             d, p = d[cut], p[cut]
             window, check, doc, at = window[~known], check[~known], doc[~known], at[~known]
+            begin, step, times = progressions(window, check, doc, at)
+            window, check, doc, at = window[begin], check[begin], doc[begin], at[begin]
             spread = mix(d.view(U) * U(31) + p.astype(U))
             out = [
                 pa.array(np.concatenate((window, spread)).view(np.int64)),
                 pa.array(np.concatenate((check, np.zeros(len(d), np.uint32))).view(np.int32)),
                 pa.array(np.concatenate((doc, d))),
                 pa.array(np.concatenate((at, p)).astype(np.int32)),
-                pa.array(np.concatenate((np.zeros(len(window), np.int32), length))),
+                pa.array(np.concatenate((step, np.ones(len(d), np.int32)))),
+                pa.array(np.concatenate((times, length))),
+                pa.array(np.arange(len(window) + len(d)) >= len(window)),
             ]
             for k in range(0, len(out[0]), 100_000):
-                yield pa.RecordBatch.from_arrays([x.slice(k, 100_000) for x in out], names=["window", "check", "doc_id", "at", "run"])
+                yield pa.RecordBatch.from_arrays([x.slice(k, 100_000) for x in out], names=["window", "check", "doc_id", "at", "step", "times", "known"])
 
     return run
 
@@ -146,10 +167,11 @@ class FingerprintIndex:
     def _write_run(self, anchors: DataFrame) -> None:
         name = f"run-{self.made}"
         self.made += 1
-        self.runs.append((name, self.ws.save(anchors.repartition(task_count(self.spark), "fp").sortWithinPartitions("fp", "doc_id"), name)))
+        spread = anchors.repartition(task_count(self.spark), "fp", "doc_id")  # an fp of many documents lies in many sorted files
+        self.runs.append((name, self.ws.save(spread.sortWithinPartitions("fp", "doc_id"), name)))
 
     def ingest(self, batch: DataFrame, history: DataFrame | None = None) -> DataFrame:
-        """(doc_id, at, run) of the batch's repeated windows; history: documents of earlier batches, all ids smaller."""
+        """(doc_id, found) of the batch's repeated windows, found as places (at, step, times); history: documents of earlier batches, all ids smaller."""
         anchors = batch.mapInArrow(_anchors(self.n, self.g), "fp long, doc_id long")
         past = [frame for _, frame in self.runs]
         self._write_run(anchors)
@@ -165,13 +187,13 @@ class FingerprintIndex:
         wanted = self.ws.save(rows.join(hits, "fp", "left_semi").groupBy("doc_id").agg(F.collect_list("fp").alias("fps")), f"wanted-{self.made}")
         texts = batch.withColumn("fresh", F.lit(True)) if history is None else batch.withColumn("fresh", F.lit(True)).unionByName(history.withColumn("fresh", F.lit(False)))
         texts = keep_ids(texts, wanted.select("doc_id"), "doc_id").join(wanted, "doc_id").select("doc_id", "text", "fps")
-        windows = texts.mapInArrow(_windows(self.n, self.g), "window long, check int, doc_id long, at int, run int")
+        windows = texts.mapInArrow(_windows(self.n, self.g), "window long, check int, doc_id long, at int, step int, times int, known boolean")
         windows = windows.withColumn("least", F.min("doc_id").over(Window.partitionBy("window", "check")))
-        found = windows.where("run > 0 or least < doc_id").select("doc_id", "at", F.greatest("run", F.lit(1)).alias("run"))
+        found = windows.where("known or least < doc_id").select("doc_id", "at", "step", "times")
         if past:
             fresh = run.select("doc_id").distinct()
             found = found.join(fresh, "doc_id", "left_semi")
-        found = self.ws.save(found.groupBy("doc_id").agg(F.collect_list(F.struct("at", "run")).alias("found")), f"found-{self.made}")
+        found = self.ws.save(found.groupBy("doc_id").agg(F.collect_list(F.struct("at", "step", "times")).alias("found")), f"found-{self.made}")
         self.ws.drop(f"hits-{self.made}", f"wanted-{self.made}")
         if len(self.runs) > self.max_runs:
             self.compact()
@@ -195,8 +217,14 @@ def _spans(n: int):
             out = []
             for found in batch.column(1).to_pylist():
                 spans: list[dict] = []
-                for x in sorted(found, key=lambda x: (x["at"], x["run"])):
-                    lo, hi = x["at"], x["at"] + x["run"] - 1 + n
+                places: list[tuple[int, int]] = []
+                for x in found:
+                    at, step, times = x["at"], x["step"], x["times"]
+                    if step <= n:  # no gap between
+                        places.append((at, at + (times - 1) * step + n))
+                    else:
+                        places.extend((at + k * step, at + k * step + n) for k in range(times))
+                for lo, hi in sorted(places):
                     if spans and lo <= spans[-1]["end"]:
                         spans[-1]["end"] = max(spans[-1]["end"], hi)
                     else:

@@ -69,6 +69,36 @@ def test_substring(docs, texts):
             assert kept[i] == (len(w), b" ".join(x for k, x in enumerate(w) if k not in cut).decode())
 
 
+def test_progressions():
+    from orrery.llm.substring_dedup import progressions
+
+    at = np.array([0, 2, 4, 6, 100, 102, 104, 3, 9, 1, 5])
+    window = np.array([1] * 7 + [1] * 2 + [2] * 2)
+    doc = np.array([1] * 7 + [2] * 2 + [2] * 2)
+    back = [(window[b], doc[b], at[b] + k * s) for b, s, t in zip(*progressions(window, window, doc, at)) for k in range(t)]
+    assert back == list(zip(window, doc, at))
+    assert len(progressions(window, window, doc, at)[0]) == 5
+    assert [len(x) for x in progressions(*(np.zeros(0, int),) * 4)] == [0, 0, 0]
+
+
+def test_substring_periodic(spark):
+    """Lines that one document repeats, near and far apart, and other documents share."""
+    from orrery.llm.substring_dedup import remove_spans, repeated_spans
+
+    far = " ".join(f"w{k}" for k in range(60))
+    rows = [(1, "x y " * 40), (2, "x y " * 300 + "z"), (3, "q " + "x y " * 30 + far), (4, (far + " x ") * 5), (5, "y x " * 25 + far), (6, (far + " other ") * 4 + "x y " * 60), (7, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    words, first = {i: (t or "").encode().split() for i, t in rows}, {}
+    for i, w in words.items():
+        for k in range(len(w) - 49):
+            first.setdefault(tuple(w[k : k + 50]), i)
+    for batches in (1, 2):
+        kept = {r.doc_id: r.kept_text for r in remove_spans(docs, repeated_spans(docs, n=50, batches=batches)).collect()}
+        for i, w in words.items():
+            cut = {j for k in range(len(w) - 49) if first[tuple(w[k : k + 50])] < i for j in range(k, k + 50)}
+            assert kept[i] == b" ".join(x for k, x in enumerate(w) if k not in cut).decode()
+
+
 def test_chat_round_trip(spark):
     from orrery.llm.chat_format import format_conversations, read_back
 
