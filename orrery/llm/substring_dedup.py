@@ -122,7 +122,9 @@ def _windows(n: int, g: int):
                     got[1].append(other[pick])
                     got[2].append(np.full(len(pick), ids[i]))
                     got[3].append(inside[pick].astype(np.int32))
+                del words, fps, inside, whole, other
             window, check, doc, at = (np.concatenate(x) for x in got)
+            del got
             if not len(window):
                 continue
             order = np.lexsort((at, doc, check, window))

@@ -16,7 +16,7 @@ import pyarrow as pa
 U = np.uint64
 _BASE, _WORD_BASE = U(0x9E3779B97F4A7C15 | 1), U(0xD6E8FEB86659FD93 | 1)
 #: Bytes of text that one pass works on; numpy's temporaries take about 60 times as much.
-CHUNK_BYTES = 1_500_000
+CHUNK_BYTES = 600_000
 
 
 def mix(x: np.ndarray) -> np.ndarray:
