@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from orrery.llm.shared import Workspace, keep_ids, task_count
-from orrery.llm.wordhash import U, Words, chunks, mix
+from orrery.llm.wordhash import U, Words, buffers, chunks, forget, mix, pieces
 
 CHECK_SALT = 0x7F4A7C159E3779B9
 SPANS = "array<struct<start:int,end:int>>"
@@ -39,6 +39,7 @@ SPANS = "array<struct<start:int,end:int>>"
 
 def _profile(batches):
     for batch in batches:
+        forget()
         counts, sums = [], []
         for k in range(batch.num_rows):  # the words of one text at a time
             words = (batch.column(1)[k].as_py() or "").encode().split()
@@ -266,18 +267,21 @@ def repeated_spans(docs: DataFrame, n: int = 50, g: int = 16, batches: int = 2,
 
 def _cut(batches):
     for batch in batches:
+        forget()
         at = batch.schema.get_field_index
-        texts = batch.column(at("text")).to_pylist()
-        spans = batch.column(at("spans")).to_pylist() if "spans" in batch.schema.names else [None] * len(texts)
-        kept, total, removed = [], [], []
-        for text, cut in zip(texts, spans):
-            words = (text or "").encode().split()
-            total.append(len(words))
-            for x in reversed(cut or ()):
-                del words[x["start"] : x["end"]]
-            removed.append(total[-1] - len(words))
-            kept.append(b" ".join(words).decode())
-        yield pa.RecordBatch.from_arrays([batch.column(at("doc_id")), pa.array(total, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())], names=["doc_id", "n_words", "n_removed", "kept_text"])
+        for lo, hi in pieces(buffers(batch.column(at("text")))[1]):
+            part = batch.slice(lo, hi - lo)
+            texts = part.column(at("text"))
+            spans = part.column(at("spans")).to_pylist() if "spans" in batch.schema.names else [None] * (hi - lo)
+            kept, total, removed = [], [], []
+            for k, cut in enumerate(spans):  # the words of one text at a time
+                words = (texts[k].as_py() or "").encode().split()
+                total.append(len(words))
+                for x in reversed(cut or ()):
+                    del words[x["start"] : x["end"]]
+                removed.append(total[-1] - len(words))
+                kept.append(b" ".join(words).decode())
+            yield pa.RecordBatch.from_arrays([part.column(at("doc_id")), pa.array(total, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())], names=["doc_id", "n_words", "n_removed", "kept_text"])
 
 
 def remove_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:

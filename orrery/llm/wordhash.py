@@ -136,7 +136,7 @@ class Words:
 
 
 #: What a worker that turns to other work may forget; modules with large tables add theirs.
-FORGET: list = []
+FORGET: list = [_POWERS.clear]
 
 
 def forget() -> None:
