@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from orrery.llm.shared import Workspace
+from orrery.llm.shared import Workspace, task_count
 
 SPACE = "[\\x20\\x09-\\x0D]+"
 #: Character classes by what is left of a text without other characters; lower-case and the rest follow from the length.
@@ -57,9 +57,14 @@ def common_words(ws: Workspace, docs: DataFrame, per_language: int = 24, longest
         F.explode(F.transform(F.filter(word_array(F.col("text")), lambda w: F.char_length(w) <= longest), lambda w: F.lower(w))).alias("word"),
     ).where(F.col("word").rlike("^\\p{L}+$"))
     counts = ws.save(short.groupBy("lang", "word").agg(F.count("*").alias("n")), "words")
-    by = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
     total = counts.groupBy("word").agg(F.sum("n").alias("n")).select(F.lit(ANY).alias("lang"), "word", "n")
-    ranked = counts.where(F.col("lang") != ANY).unionByName(total).withColumn("place", F.row_number().over(by)).where(F.col("place") <= per_language)
+    ranked = counts.where(F.col("lang") != ANY).unionByName(total)
+    # Each partition gives a language's best words; shares of the partitions are ranked before all of them, so no task reads every partition's.
+    shares = 1 + int(task_count(docs.sparkSession) ** 0.5) // 2
+    ranked = ranked.withColumn("share", F.spark_partition_id() % shares)
+    for keys in (["lang", "share"], ["lang"]):
+        by = Window.partitionBy(*keys).orderBy(F.desc("n"), "word")
+        ranked = ranked.withColumn("place", F.row_number().over(by)).where(F.col("place") <= per_language)
     lists = ranked.groupBy("lang").agg(F.array_sort(F.collect_list("word")).alias("words"), F.sum("n").alias("n"))
     return lists.orderBy(F.desc(F.col("lang") == ANY), F.desc("n"), "lang").limit(most_languages).select("lang", "words")
 
