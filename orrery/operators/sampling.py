@@ -5,6 +5,7 @@ Random choices are orders by a digest of seed and key, so they don't depend on p
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -48,6 +49,46 @@ def stratified_sample(groups: DataFrame, group: str, stratum: str, n: int, seed:
     return ranked.join(quota, stratum).where("_rank <= quota").drop("_rank", "quota")
 
 
+def count_matched_quota(classes: dict[tuple[str, int], int], groups: int, members: int) -> dict[tuple[str, int], int]:
+    """How many groups of each (stratum, size) make exactly ``groups`` groups with ``members`` members.
+
+    Of all exact choices the one nearest the strata's and sizes' shares (least sum of deviations, ties by
+    fewer of the earlier classes). A table over (groups, members) is kept a class: that bounds its use.
+    """
+    order = sorted(classes)
+    total = max(1, sum(classes.values()))
+    best = np.full((groups + 1, members + 1), np.inf)
+    best[0, 0] = 0.0
+    taken = []
+    for stratum, size in order:
+        have, share = classes[stratum, size], groups * classes[stratum, size] / total
+        after, pick = np.full_like(best, np.inf), np.zeros(best.shape, np.int32)
+        for k in range(min(have, groups, members // size if size else groups) + 1):
+            cost = best[: groups + 1 - k, : members + 1 - k * size] + abs(k - share)
+            here, where = after[k:, k * size :], pick[k:, k * size :]
+            lower = cost < here
+            here[lower], where[lower] = cost[lower], k
+        best = after
+        taken.append(pick)
+    if not np.isfinite(best[groups, members]):
+        raise ValueError(f"no choice has exactly {groups} groups with {members} members")
+    out, g, m = {}, groups, members
+    for key, pick in zip(reversed(order), reversed(taken)):
+        out[key] = int(pick[g, m])
+        g, m = g - out[key], m - out[key] * key[1]
+    return out
+
+
+def count_matched_sample(df: DataFrame, group: str, stratum: str, groups: int, members: int, seed: int) -> DataFrame:
+    """(group, stratum, size) of a seeded sample of exactly so many groups and members; a group's stratum is its least."""
+    each = df.groupBy(group).agg(F.min(stratum).alias(stratum), F.count("*").alias("size"))
+    classes = {(r[stratum], r["size"]): r["count"] for r in each.groupBy(stratum, "size").count().collect()}  # strata times distinct sizes
+    quota = count_matched_quota(classes, groups, members)
+    plan = df.sparkSession.createDataFrame([(*key, n) for key, n in quota.items() if n], f"{stratum} string, size long, _quota long")
+    ranked = each.withColumn("_rank", hash_rank([stratum, "size"], seeded_order(seed, F.col(group)), group))
+    return ranked.join(F.broadcast(plan), [stratum, "size"]).where("_rank <= _quota").select(group, stratum, "size")
+
+
 def positive_ratio(df: DataFrame, positive: str, ratio: float, seed: int, key: str, within: list[str] | None = None, eligible: Column | None = None) -> DataFrame:
     """All positives and as many seeded negatives as make their share ``ratio``; none without positives."""
     keys = within or []

@@ -722,3 +722,10 @@ def exam_views(spark, sf):
     order = F.struct(F.when(F.col("laterality") == "L", 0).otherwise(1).alias("a"), F.when(F.col("view_position") == "CC", 0).otherwise(1).alias("b"), "image_id")
     g = src(spark, sf).groupBy("study_id").agg(F.array_sort(F.collect_list(order)).alias("v"), F.count("*").alias("n"))
     return g.select("study_id", F.array_join(F.transform("v", lambda x: x["image_id"].cast("string")), ",").alias("views"), "n")
+
+
+@register()
+def count_matched_split(spark: SparkSession, sf: str) -> DataFrame:
+    """100 studies with 1,000 images, exactly; a choice over all classes at once has no SQL form."""
+    images = src(spark, sf).withColumn("stratum", F.concat(F.lit("S"), (F.col("study_id") % 3).cast("string")))
+    return S.count_matched_sample(images, "study_id", "stratum", 100, 1000, 123)

@@ -108,3 +108,27 @@ def test_arrays_and_relations(spark):
     df = spark.createDataFrame([("s", "CC", "L", 1), ("s", "CC", "R", 2), ("s", "CC", "R", 3), ("s", "MLO", "L", 4)], "study string, view string, side string, id long")
     assert {x.id: x.other_id for x in J.contralateral(df, "study", "view", "side", "id").collect()} == {1: 3, 2: 1, 3: 1, 4: None}
     assert J.resolve_column(df, ["Image ID", "STUDY"]) == "study"
+
+
+def test_count_matched_sample(spark):
+    from itertools import product
+
+    from orrery.operators.sampling import count_matched_quota, count_matched_sample
+
+    sizes = [1, 1, 2, 2, 2, 3, 3, 4]
+    rows = [(study, "a" if study % 2 else "b") for study, n in enumerate(sizes) for _ in range(n)]
+    df = spark.createDataFrame(rows, "study long, stratum string")
+    got = [sorted(r.study for r in count_matched_sample(d, "study", "stratum", 3, 6, 7).collect()) for d in (df, df.repartition(5))]
+    assert got[0] == got[1] and len(got[0]) == 3 and sum(sizes[k] for k in got[0]) == 6
+    classes = {("a", 1): 3, ("a", 2): 2, ("b", 2): 3, ("b", 5): 1}
+    for groups in range(6):
+        for members in range(14):
+            exact = [q for q in product(*(range(n + 1) for n in classes.values())) if sum(q) == groups and sum(k * s for k, (_, s) in zip(q, classes)) == members]
+            cost = [sum(abs(k - groups * n / 9) for k, n in zip(q, classes.values())) for q in exact]
+            if not exact:
+                with pytest.raises(ValueError):
+                    count_matched_quota(classes, groups, members)
+            else:
+                quota = count_matched_quota(classes, groups, members)
+                assert tuple(quota[c] for c in classes) in exact
+                assert abs(sum(abs(quota[c] - groups * n / 9) for c, n in classes.items()) - min(cost)) < 1e-9
