@@ -185,6 +185,30 @@ def test_decontamination(spark, docs):
     assert not [p for p in got if 10_000 < p[0] < 20_000]
 
 
+def test_decontamination_long_items(spark):
+    """Verbatim and edited copies of items of 100 to 500 words, and texts of the same words that hold none."""
+    from orrery.llm.decontamination import benchmark_matches
+
+    rng = np.random.default_rng(5)
+    vocabulary = np.array([f"w{k}" for k in range(8000)])
+    share = 1 / (np.arange(8000) + 20.0)
+
+    def prose(n):
+        return rng.choice(vocabulary, n, p=share / share.sum())
+
+    items = {n * 10 + k: prose(n) for n in (100, 140, 160, 200, 300, 400, 500) for k in range(4)}
+    docs, wanted = [], set()
+    for i, words in items.items():
+        edited = np.where(rng.random(len(words)) < 0.1, prose(len(words)), words)[rng.random(len(words)) < 0.95]
+        for d, inner in ((i, words), (10_000 + i, edited)):
+            docs.append((d, " ".join([*prose(90 + i % 37), *inner, *prose(70)])))
+            wanted.add((d, i))
+    docs += [(20_000 + k, " ".join(prose(1000))) for k in range(200)]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    got = benchmark_matches(d, spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], "item_id long, text string"))
+    assert {(r.doc_id, r.item_id) for r in got.collect()} == wanted
+
+
 def test_warc(spark):
     from orrery.llm.warc import read_archives, write_archives
 
