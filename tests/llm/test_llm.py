@@ -121,6 +121,26 @@ def test_quality(docs, texts):
         assert r.base_failed == (len(w) < 20 or 100 * len(covered) > 30 * len(w)) and not (r.base_failed and r.kept)
 
 
+def test_quality_words(spark):
+    """Labelled texts that only the word histogram can tell, and texts without a language, which have no reference of one."""
+    from pyspark.sql import functions as F
+
+    from orrery.llm.quality_rules import judge_quality
+
+    sf = "/root/testdata/sf0.01"
+    d = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang")
+    unnamed = d.select((F.col("doc_id") + 10_000_000).alias("doc_id"), "text", F.lit(None).cast("string").alias("lang"))
+    rows = judge_quality(d.unionByName(unnamed)).collect()
+    label = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    open_ = [r for r in rows if not r.base_failed and (r.char_distance or 0) <= 0.30 and r.word_distance is not None]
+    bad = [r.kept for r in open_ if label.get(r.doc_id) == 0]
+    good = [r.kept for r in open_ if label.get(r.doc_id) == 1]
+    assert bad and sum(bad) <= 0.2 * len(bad)
+    assert sum(good) >= 0.99 * len(good)
+    mixed = [r.kept for r in open_ if label.get(r.doc_id - 10_000_000) == 1]
+    assert mixed and sum(mixed) >= 0.99 * len(mixed)
+
+
 def test_language(docs):
     from orrery.llm.language_id import fit_language_model, predict_language
 
