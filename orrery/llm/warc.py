@@ -142,11 +142,11 @@ def write_archives(pages: DataFrame, least_bytes: int = 0) -> tuple[str, DataFra
     ws = Workspace(pages.sparkSession, "warc")
     root = ws.path("archives")
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html")).where("page_id is not null")
-    digest = F.concat_ws(":", F.sha1("html"), F.octet_length("html").cast("string"))
-    known = pages.where(F.octet_length("html") >= least_bytes).select("page_id", digest.alias("digest"))
+    pages = pages.withColumn("digest", F.concat_ws(":", F.sha1("html"), F.octet_length("html").cast("string")))
+    known = pages.where(F.octet_length("html") >= least_bytes).select("page_id", "digest")
     shared = known.groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").select("digest", "first")
-    revisits = ws.save(known.join(shared, "digest").where("page_id > first").select("page_id", "first").distinct(), "revisits")
-    marked = pages.join(revisits, "page_id", "left").select("page_id", "url", "html", F.col("first").alias("refers_to"))
+    revisits = ws.save(known.join(shared, "digest").where("page_id > first").select("page_id", "digest", "first").distinct(), "revisits")
+    marked = pages.join(revisits, ["page_id", "digest"], "left").select("page_id", "url", "html", F.col("first").alias("refers_to"))
     files = marked.mapInArrow(_archive(root), "archive string, index string, n_records long")
     return root, ws.save(files, "files")
 

@@ -238,6 +238,15 @@ def test_warc(spark):
     assert all(got[i].payload_bytes == len((h or "").encode()) for i, _, h in rows)
 
 
+def test_warc_repeated_ids(spark):
+    """Rows that share an id with other payloads are written each, a payload that no other page has among them."""
+    from orrery.llm.warc import read_archives, write_archives
+
+    rows = [(1, "u", "a"), (2, "u", "a"), (2, "u", "bb"), (3, "u", "ccc"), (4, "u", "ccc"), (4, "u", "a"), (4, "u", "a")]
+    got = sorted((r.page_id, r.payload_bytes, r.record_type, r.refers_to) for r in read_archives(*write_archives(spark.createDataFrame(rows, "page_id long, url string, html string"))).collect())
+    assert got == [(1, 1, "response", None), (2, 1, "revisit", 1), (2, 2, "response", None), (3, 3, "response", None), (4, 1, "revisit", 1), (4, 1, "revisit", 1), (4, 3, "revisit", 3)]
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
