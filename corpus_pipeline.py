@@ -60,7 +60,8 @@ STAGES = [
     ("packing", packing),
 ]
 
-#: The retrieval and packing stages have no SQL form; tests compare the stages with brute force.
+#: The retrieval and packing stages have no SQL form; a test compares near duplicates and
+#: cut passages with brute force, leaks where a whole item or no item is held; quality and packing by their own tests.
 ORACLE_SQL = None
 
 

@@ -252,3 +252,58 @@ def test_pipeline(spark):
 
     rows = corpus_pipeline.run(spark, SF).collect()
     assert rows and len({r.doc_id for r in rows}) <= spark.read.parquet(f"{SF}/documents.parquet").count()
+
+
+def test_pipeline_stages(spark):
+    """Near duplicates, cut passages and dropped leaks of the given documents against plain Python."""
+    import corpus_pipeline
+
+    from orrery.llm.decontamination import lcs_length
+
+    d = spark.read.parquet(f"{SF}/documents.parquet").cache()
+    rows = {r.doc_id: r for r in d.collect()}
+    words = {i: (rows[i].text or "").encode().split() for i in sorted(rows)}
+
+    sets = {i: {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} - {()} for i, w in ((i, (rows[i].text or "").encode().lower().split()) for i in words)}
+    root = {i: i for i in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a in sets:
+        for b in sets:
+            if b < a and sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    got = {r.doc_id: r for r in corpus_pipeline.near_duplicates(spark, d, SF).collect()}
+    assert got == {i: rows[i] for i in rows if find(i) == i}
+
+    first = {}
+    for i, w in words.items():
+        for k in range(len(w) - 49):
+            first.setdefault(tuple(w[k : k + 50]), i)
+    wanted = {}
+    for i, w in words.items():
+        cut = {j for k in range(len(w) - 49) if first[tuple(w[k : k + 50])] < i for j in range(k, k + 50)}
+        text = b" ".join(x for k, x in enumerate(w) if k not in cut).decode()
+        if not cut:
+            wanted[i] = rows[i].asDict()
+        elif len(cut) < len(w):
+            wanted[i] = {**rows[i].asDict(), "text": text, "n_chars": len(text)}
+    assert {r.doc_id: r.asDict() for r in corpus_pipeline.repeated_passages(spark, d, SF).collect()} == wanted
+
+    def parts(text):
+        return "".join(c.lower() if c.isalnum() or ord(c) > 127 else " " for c in text or "").split()
+
+    code = {}
+    items = [np.array([code.setdefault(w, len(code)) for w in parts(r.text)]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    kept = {r.doc_id for r in corpus_pipeline.decontamination(spark, d, SF).collect()}
+    for i, r in rows.items():
+        text = parts(r.text)
+        coded, whole = np.array([code.get(w, -1) for w in text]), " ".join(map(str, (code.get(w, -1) for w in text)))
+        if any(len(w) and f" {' '.join(map(str, w))} " in f" {whole} " for w in items):
+            assert i not in kept
+        elif all(lcs_length(w, coded) < 0.6 * len(w) for w in items):
+            assert i in kept
