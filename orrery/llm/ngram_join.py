@@ -1,6 +1,6 @@
 """N-gram Jaccard join by filters under several global token orders.
 
-Tokens are hashes of word n-grams. A document of n tokens can only reach the threshold num/den with
+Tokens are 64-bit hashes of word n-grams (a chain of mixes over the words' hashes). A document of n tokens can only reach the threshold num/den with
 another if the two share a token among the first k = n - ceil(num*n/den) + 1 tokens of *any* order
 that all documents use. Three orders are used, cheapest first, and a pair has to pass all of them
 before its sets are compared:
@@ -17,8 +17,8 @@ least mutated members of its posting lists, then, for what is still in different
 remaining pair once, at its first shared prefix token. Components are found by distributed rounds.
 
 Defined results: null or blank text has no tokens, n_shingles 0 and links with nothing; fewer words
-than n make one token; rows with a null id are left out; repeated ids count once (least of their
-sets); other columns are ignored whatever their names.
+than n make one token; rows with a null id are left out; rows that repeat an id are one document, that
+of the fewest tokens (ties by digest); other columns are ignored whatever their names.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from orrery.llm.shared import Workspace, components, keep_ids
+from orrery.llm.shared import Components, Workspace, few, keep_ids
 from orrery.llm.wordhash import U, chunks, mix
 
 
@@ -50,14 +50,19 @@ def prefix_length(n: int, num: int, den: int) -> int:
     return n - -(-num * n // den) + 1
 
 
+def _digests(sets) -> list[pa.Array]:
+    """Size and two 64-bit digests of each set."""
+    rows = [(len(x), int(mix(x).sum(dtype=U)), int(mix(x ^ U(0xA5A5A5A5A5A5A5A5)).sum(dtype=U))) for x in sets]
+    size, d1, d2 = (np.array(v, dtype=t) for v, t in zip(zip(*rows), (np.int64, U, U)))
+    return [pa.array(size), pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64))]
+
+
 def _profile(n: int):
     def run(batches):
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             for lo, hi, words in chunks(batch, True):
-                rows = [(len(x), int(mix(x).sum(dtype=U)), int(mix(x ^ U(0xA5A5A5A5A5A5A5A5)).sum(dtype=U))) for x in _sets(words, n)]
-                size, d1, d2 = (np.array(v, dtype=t) for v, t in zip(zip(*rows), (np.int64, U, U)))
-                yield pa.RecordBatch.from_arrays([pa.array(ids[lo:hi].astype(np.int64)), pa.array(size), pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64))], names=["doc_id", "n", "d1", "d2"])
+                yield pa.RecordBatch.from_arrays([pa.array(ids[lo:hi].astype(np.int64)), *_digests(_sets(words, n))], names=["doc_id", "n", "d1", "d2"])
 
     return run
 
@@ -116,7 +121,7 @@ def _token_sets(n: int, num: int, den: int):
                 sets = list(_sets(words, n))
                 second = [np.sort(mix(x ^ U(0xC2B2AE3D27D4EB4F)))[: prefix_length(len(x), num, den)] if len(x) else x for x in sets]
                 lists = [pa.ListArray.from_arrays(np.concatenate(([0], np.cumsum([len(x) for x in part]))).astype(np.int32), np.concatenate(part).view(np.int64)) for part in (sets, second)]
-                yield pa.RecordBatch.from_arrays([pa.array(ids[lo:hi]), pa.array(np.array([len(x) for x in sets])), *lists], names=["doc_id", "n", "tokens", "second"])
+                yield pa.RecordBatch.from_arrays([pa.array(ids[lo:hi]), *_digests(sets), *lists], names=["doc_id", "n", "d1", "d2", "tokens", "second"])
 
     return run
 
@@ -130,9 +135,11 @@ def ngram_jaccard_components(
     docs = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text")).where("doc_id is not null")
 
     members = docs.mapInArrow(_profile(words), "doc_id long, n long, d1 long, d2 long")
-    members = ws.save(members.groupBy("doc_id").agg(F.min(F.struct("n", "d1", "d2")).alias("s")).select("doc_id", "s.*"), "members")
-    classes = ws.save(members.groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "classes")
-    copies = members.join(classes.where("copies > 1"), ["n", "d1", "d2"]).where("doc_id <> rep or n = 0").select("doc_id")
+    members = members.groupBy("doc_id").agg(F.min(F.struct("n", "d1", "d2")).alias("s"), F.count("*").alias("times"))
+    members = ws.save(members.select("doc_id", "s.*", "times"), "members")
+    same = ["n", "d1", "d2"]
+    shared = ws.save(members.where("n > 0").groupBy(*same).agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")).where("copies > 1").drop("copies"), "shared")
+    copies = ws.save(members.join(few(shared), same).where("doc_id <> rep").select("doc_id", "rep"), "copies")
     first = keep_ids(docs, copies, "doc_id", "left_anti")
 
     # order 1: hash values; documents only
@@ -141,8 +148,10 @@ def ngram_jaccard_components(
     held = held.where("spare is not null or (key is not null and times > 1)")
     alive = held.groupBy("key").agg(F.sum(F.coalesce("spare", F.lit(1))).alias("spare")).where("spare >= 0")
     alive = ws.save(alive.select(F.col("key").alias("doc_id")), "alive")
-    sets = keep_ids(first, alive, "doc_id").mapInArrow(_token_sets(words, num, den), "doc_id long, n long, tokens array<long>, second array<long>")
-    sets = ws.save(sets.dropDuplicates(["doc_id"]), "sets")
+    sets = keep_ids(first, alive, "doc_id").mapInArrow(_token_sets(words, num, den), "doc_id long, n long, d1 long, d2 long, tokens array<long>, second array<long>")
+    if members.where("times > 1").limit(1).count():  # ids that several rows have: the one whose digests were taken
+        sets = sets.join(members.select("doc_id", *same), ["doc_id", *same], "left_semi").dropDuplicates(["doc_id"])
+    sets = ws.save(sets.drop("d1", "d2"), "sets")
 
     # order 2: document frequency, rarest first
     each = sets.select(F.col("doc_id").alias("rep"), "n", F.explode("tokens").alias("token"))
@@ -183,15 +192,16 @@ def ngram_jaccard_components(
     vote = vote.groupBy(F.col("y.rep").alias("b"), F.col("x.rep").alias("a")).count()
     vote = vote.withColumn("best", F.row_number().over(Window.partitionBy("b").orderBy(F.desc("count"), "a"))).where("best <= 3")
     links = ws.save(linked(vote.select("a", "b")), "links-1")
-    reps = post.select(F.col("rep").alias("v"))
-    comp = ws.save(components(ws, links, reps, "round-1"), "comp-1")
+    groups = Components(ws)
+    groups.add(links)
+    ws.drop("links-1")
 
     # step 2: what is left between different components
-    here = post.join(comp.withColumnRenamed("v", "rep"), "rep")
+    here = post.join(few(groups.labels.withColumnRenamed("v", "rep")), "rep", "left").withColumn("component", F.coalesce("c", "rep")).drop("c")
     open_ = here.groupBy("token").agg(F.min("component").alias("c"), F.max("component").alias("d")).where("c <> d").select("token")
     here = here.join(open_, "token", "left_semi")
-    signs = here.groupBy("rep").agg(F.transform(F.array_sort(F.collect_set(F.struct("place", "token"))), lambda t: t["token"]).alias("signs"))
-    here = ws.save(here.join(signs, "rep"), "open")
+    signs = F.array_sort(F.collect_list(F.struct("place", "token")).over(own))
+    here = ws.save(here.withColumn("signs", F.transform(signs, lambda t: t["token"])), "open")
     x, y = here.alias("x"), here.alias("y")
     rest = x.join(
         y,
@@ -201,12 +211,11 @@ def ngram_jaccard_components(
         & fits("x", "y", first=True)
         & (F.element_at(F.array_intersect("x.signs", "y.signs"), 1) == F.col("x.token")),
     ).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
-    links = ws.save(links.union(linked(rest)), "links-2")
-    comp = components(ws, links, reps, "round-2")
+    if here.limit(1).count():
+        groups.add(ws.save(linked(rest), "links-2"))
 
-    near = classes.where("n > 0").select("n", "d1", "d2", "rep").join(comp.withColumnRenamed("v", "rep"), "rep", "left")
-    near = near.select("n", "d1", "d2", F.coalesce("component", "rep").alias("component_id"))
-    out = members.join(near, ["n", "d1", "d2"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
-    out = ws.save(out, "out")
+    out = members.join(few(copies), "doc_id", "left").withColumn("rep", F.coalesce("rep", "doc_id"))
+    out = out.join(few(groups.labels.withColumnRenamed("v", "rep")), "rep", "left")
+    out = ws.save(out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("c", "rep").alias("component_id")), "out")
     ws.keep_only("out")
     return out

@@ -1,4 +1,4 @@
-"""What the operators of this subpackage share: the shared folder, bounded broadcasts, components."""
+"""What the operators of this subpackage share: the shared folder, bounded broadcasts, connected components."""
 
 from __future__ import annotations
 
@@ -7,8 +7,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Most ids that a side may hold to be broadcast (two longs a row: about 64 MB); beyond, the join shuffles.
-BROADCAST_IDS = 2_000_000
+#: Most rows of two longs that a side may hold to be broadcast (about 16 MB as a relation); beyond, the join shuffles.
+BROADCAST_ROWS = 400_000
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -63,40 +63,50 @@ def task_count(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def few(df: DataFrame, most: int | None = None) -> DataFrame:
+    """df, marked for a broadcast if a count shows at most ``most`` rows; df reads a saved table of a few numbers a row."""
+    return F.broadcast(df) if df.count() <= (BROADCAST_ROWS if most is None else most) else df
+
+
 def keep_ids(df: DataFrame, ids: DataFrame, column: str, how: str = "left_semi", most: int | None = None) -> DataFrame:
     """df's rows whose id is (left_semi) or isn't (left_anti) in ids.
 
     The ids are broadcast only if a count shows at most ``most`` of them; otherwise both sides shuffle.
     Either way gives the same rows.
     """
-    ids = ids.select(F.col(ids.columns[0]).alias(column))
-    if ids.count() <= (BROADCAST_IDS if most is None else most):
-        ids = F.broadcast(ids)
-    else:
-        ids = ids.hint("merge")
-    return df.join(ids, column, how)
+    return df.join(few(ids.select(F.col(ids.columns[0]).alias(column)), most), column, how)
 
 
-def components(ws: Workspace, edges: DataFrame, vertices: DataFrame, name: str = "components") -> DataFrame:
-    """(v, component) with the smallest vertex reachable; edges (a, b), vertices (v).
+class Components:
+    """Connected components of a graph that grows by saved edges (a, b); all state is distributed.
 
-    Rounds of minimum over neighbours and pointer jumping, each written to the shared folder, until
-    nothing changes. All state is distributed.
+    A round hooks each vertex to its smallest neighbour where that is smaller, and to what that one hooks to, then
+    contracts the edges, of which only those between different components stay; it ends when none does.
+    ``labels`` has (v, c) of the vertices that aren't the smallest of their component.
     """
-    both = ws.save(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), f"{name}-edges")
-    comp = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("v"), F.least("a", "m").alias("c"))
-    comp = ws.save(comp, f"{name}-0")
-    k = 0
-    while True:
-        near = both.join(comp.select(F.col("v").alias("b"), "c"), "b").groupBy("a").agg(F.min("c").alias("m"))
-        step = comp.join(near.withColumnRenamed("a", "v"), "v").select("v", "c", F.least("c", "m").alias("d"))
-        jump = comp.select(F.col("v").alias("d"), F.col("c").alias("e"))
-        step = step.join(jump, "d").select("v", F.least("d", "e").alias("c"), (F.least("d", "e") != F.col("c")).alias("moved"))
-        step = ws.save(step, f"{name}-{k + 1}")
-        moved = step.where("moved").limit(1).count()
-        ws.drop(f"{name}-{k}")
-        comp, k = step.select("v", "c"), k + 1
-        if not moved:
-            break
-    ws.drop(f"{name}-edges")
-    return vertices.select("v").distinct().join(comp, "v", "left").select("v", F.coalesce("c", "v").alias("component"))
+
+    def __init__(self, ws: Workspace, name: str = "components"):
+        self.ws, self.name, self.k = ws, name, 0
+        self.labels = ws.spark.createDataFrame([], "v long, c long")
+
+    def _moved(self, df: DataFrame, column: str, hooks: DataFrame) -> DataFrame:
+        to = hooks.select(F.col("v").alias(column), F.col("c").alias("_to"))
+        return df.join(to, column, "left").withColumn(column, F.coalesce("_to", column)).drop("_to")
+
+    def add(self, edges: DataFrame) -> None:
+        have = few(self.labels)
+        edges = self._moved(self._moved(edges.select("a", "b"), "a", have), "b", have)
+        while True:
+            edges = self.ws.save(edges.where("a <> b"), f"{self.name}-edges-{self.k}")
+            if not edges.limit(1).count():
+                self.ws.drop(f"{self.name}-edges-{self.k}", f"{self.name}-edges-{self.k - 1}")
+                return
+            low = edges.select("a", "b").union(edges.select("b", "a")).groupBy("a").agg(F.min("b").alias("c")).where("c < a")
+            up = low.select(F.col("a").alias("c"), F.col("c").alias("d"))
+            hooks = low.join(up, "c", "left").select(F.col("a").alias("v"), F.coalesce("d", "c").alias("c"))
+            hooks = self.ws.save(hooks, f"{self.name}-hooks-{self.k}")
+            small = few(hooks)
+            self.labels = self.ws.save(self._moved(self.labels, "c", small).select("v", "c").unionByName(hooks), f"{self.name}-{self.k}")
+            edges = self._moved(self._moved(edges, "a", small), "b", small)
+            self.ws.drop(f"{self.name}-edges-{self.k - 1}", f"{self.name}-hooks-{self.k - 1}", f"{self.name}-{self.k - 1}")
+            self.k += 1

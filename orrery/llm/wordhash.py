@@ -1,21 +1,25 @@
 """Vectorised numpy kernels over the text column of Arrow batches: words, word hashes, n-gram hashes.
 
 A word is a maximal run of bytes other than space and 09-0D, as UTF-8 these are the words
-``[^\\x20\\x09-\\x0D]+`` of the text. Hashes are 64-bit polynomial sums over seeded byte tables,
-finished by a multiply-xorshift mix; they depend on nothing but the words.
+``[^\\x20\\x09-\\x0D]+`` of the text. A word's 64-bit hash is a chain over its lanes of eight bytes, each
+step a bijective multiply-xorshift mix, from its length on; words over ``LONG`` bytes take BLAKE2b. No sum
+or product of bytes decides, so no arrangement of repeated parts cancels out. They depend on nothing but the words.
 """
 
 from __future__ import annotations
 
 import ctypes
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
 U = np.uint64
-_BASE, _WORD_BASE = U(0x9E3779B97F4A7C15 | 1), U(0xD6E8FEB86659FD93 | 1)
-#: Bytes of text that one pass works on; numpy's temporaries take about 60 times as much.
+_WORD_BASE = U(0xD6E8FEB86659FD93 | 1)
+#: Bytes beyond which a word is hashed by BLAKE2b.
+LONG = 512
+#: Bytes of text that one pass works on; numpy's temporaries take about 15 times as much.
 CHUNK_BYTES = 600_000
 
 
@@ -29,14 +33,30 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _table(fold: bool) -> np.ndarray:
-    out = mix(np.arange(1, 257, dtype=U) * U(0x2545F4914F6CDD1D))
-    if fold:
-        out[65:91] = out[97:123]
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+_TAIL = (U(1) << (U(8) * np.arange(8, dtype=U))) - U(1)
+
+
+def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the byte ranges start..end of data."""
+    size = end - start
+    lanes = np.ndarray(len(data) + 1, "<u8", np.concatenate((data, np.zeros(8, np.uint8))), 0, (1,))  # eight bytes from each byte on
+    out = mix(size.astype(U) + U(0x2545F4914F6CDD1D))
+    rows = np.flatnonzero(size <= LONG)
+    at, left = start[rows], size[rows]
+    while len(rows):
+        lane = lanes[at]
+        short = np.flatnonzero(left < 8)
+        lane[short] &= _TAIL[left[short]]
+        out[rows] = mix((out[rows] ^ lane) * U(0x9E3779B97F4A7C15))
+        more = np.flatnonzero(left > 8)
+        rows, at, left = rows[more], at[more] + 8, left[more] - 8
+    for k in np.flatnonzero(size > LONG).tolist():
+        out[k] = int.from_bytes(hashlib.blake2b(data[start[k] : end[k]].tobytes(), digest_size=8).digest(), "little")
     return out
 
 
-TABLES = {True: _table(True), False: _table(False)}
 _POWERS: dict[int, np.ndarray] = {}
 
 
@@ -81,7 +101,6 @@ class Words:
 
     def __init__(self, data: np.ndarray, at: np.ndarray, fold: bool, breaks: np.ndarray | None = None):
         at = at - at[0]
-        n = len(data)
         space = (data == 32) | ((data >= 9) & (data <= 13)) if breaks is None else breaks[data]
         word = ~space
         first, last = word.copy(), word.copy()
@@ -94,10 +113,8 @@ class Words:
         self.data, self.at = data, at
         self.start, self.end = np.flatnonzero(first), np.flatnonzero(last) + 1
         self.of = np.searchsorted(self.start, at)
-        total = np.zeros(n + 1, U)
-        np.cumsum(TABLES[fold][data] * _powers(_BASE, n)[:n], out=total[1:])
-        back = _powers(_inverse(_BASE), n)
-        self.hash = mix((total[self.end] - total[self.start]) * back[self.start] + (self.end - self.start).astype(U))
+        del space, word, first, last
+        self.hash = word_hashes(LOWER[data] if fold else data, self.start, self.end)
 
     @property
     def counts(self) -> np.ndarray:
@@ -108,25 +125,29 @@ class Words:
 
         A row with fewer than n words, but one at least, has its whole sequence as its only gram.
         """
-        m, of = len(self.hash), self.of
-        total = np.zeros(m + 1, U)
-        np.cumsum(self.hash * _powers(_WORD_BASE, m)[:m], out=total[1:])
-        back = _powers(_inverse(_WORD_BASE), m)
+        of = self.of
         counts = self.counts
         made = np.where(counts >= n, counts - n + 1, (counts > 0).astype(np.int64))
         bounds = np.concatenate([[0], np.cumsum(made)])
         begin = np.arange(bounds[-1]) + np.repeat(of[:-1] - bounds[:-1], made)
         length = np.repeat(np.minimum(counts, n), made)
-        return mix((total[begin + length] - total[begin]) * back[begin] + length.astype(U)), bounds
-
-    def spans(self, n: int, salt: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        out = mix(length.astype(U))
+        for k in range(n if len(begin) else 0):
+            own = np.flatnonzero(length > k)
+            if len(own) == len(out):
+                out = mix(out ^ self.hash[begin + k])
+            else:
+                out[own] = mix(out[own] ^ self.hash[begin[own] + k])
+        return out, bounds
+
+    def spans(self, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Hashes of the full n-word windows only, the first word of each (index in its row) and row bounds.
 
-        Another salt gives an independent hash of the same windows.
+        Sums of word hashes by powers of a base: for finding candidates, not for deciding.
         """
         m, of = len(self.hash), self.of
         total = np.zeros(m + 1, U)
-        np.cumsum((mix(self.hash ^ U(salt)) if salt else self.hash) * _powers(_WORD_BASE, m)[:m], out=total[1:])
+        np.cumsum(self.hash * _powers(_WORD_BASE, m)[:m], out=total[1:])
         back = _powers(_inverse(_WORD_BASE), m)
         made = np.maximum(self.counts - n + 1, 0)
         bounds = np.concatenate([[0], np.cumsum(made)])
