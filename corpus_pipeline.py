@@ -31,13 +31,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the 50-word windows that a smaller id has; those of which nothing is left go."""
+    """Documents without the 50-word windows that a smaller id has; those of which nothing is left go; rows that repeat an id stay rows."""
     spans = repeated_spans(docs, n=50)
-    ids = spans.select("doc_id")
-    cut = remove_spans(keep_ids(docs, ids, "doc_id"), spans).where("n_removed < n_words").select("doc_id", "kept_text")
-    changed = keep_ids(docs, ids, "doc_id").join(cut.withColumnRenamed("doc_id", "cut_id"), F.col("doc_id") == F.col("cut_id"))
-    changed = changed.withColumn("text", F.col("kept_text")).withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return keep_ids(docs, ids, "doc_id", "left_anti").unionByName(changed.select(*docs.columns))
+    cut = remove_spans(keep_ids(docs, spans.select("doc_id"), "doc_id"), spans, carry=True).where("n_removed = 0 or n_removed < n_words")
+    changed = F.col("n_removed") > 0
+    new = {"text": F.when(changed, F.col("kept_text")).otherwise(F.col("carried.text")), "n_chars": F.when(changed, F.char_length("kept_text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("carried.n_chars"))}
+    cut = cut.select(*[new.get(c, F.col(f"carried.`{c}`")).alias(c) for c in docs.columns])
+    return keep_ids(docs, spans.select("doc_id"), "doc_id", "left_anti").unionByName(cut)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
