@@ -20,7 +20,11 @@ def put(root: str, name: str, write) -> str:
     try:
         with store.open_output_stream(part, compression=None, buffer_size=1 << 20) as out:
             write(out)
-        store.move(part, f"{path}/{name}")
+        try:
+            store.move(part, f"{path}/{name}")
+        except OSError:  # stores that refuse to replace what an earlier attempt left
+            store.delete_file(f"{path}/{name}")
+            store.move(part, f"{path}/{name}")
     except BaseException:
         try:
             store.delete_file(part)

@@ -4,28 +4,24 @@ Every language gets a codeword; each bit has a binary classifier over hashed byt
 folded text (ridge regression to +-1, each bit's threshold at 0). A text is decoded to the codeword of
 least loss, the logistic loss of each bit weighted by that bit's share of right answers on a part of
 the sample that the classifiers haven't seen. The classifiers are fitted on a bounded sample
-(``most_rows`` labelled rows, an equal bound for each language); all rows are predicted, from the text
-alone.
+(``most_rows`` labelled rows, an equal bound for each language, one row at least), taken by a threshold on
+the hash of the id, so no language's rows meet in one task; all rows are predicted, from the text alone.
 
-Defined results: null text and text without a letter give ``und`` with score 0; no labelled row gives
-``und`` everywhere; at most ``most_languages`` languages, the commonest, are learned; repeated rows are
-predicted each; other columns are ignored.
+Defined results: null text and text without a letter (Unicode category L) give ``und`` with score 0; no
+labelled row gives ``und`` everywhere; every labelled language is learned; repeated rows are predicted each;
+other columns are ignored.
 """
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from orrery.llm.shared import keep_ids
 from orrery.llm.wordhash import buffers, pieces
 
-LETTER = re.compile(r"[^\W\d_]")
 UNDETERMINED = "und"
 
 
@@ -73,7 +69,8 @@ def codewords(k: int, seed: int = 7) -> np.ndarray:
     rng, best, apart = np.random.default_rng(seed), None, -1
     for _ in range(200):
         code = rng.choice([-1.0, 1.0], size=(k, int(np.ceil(12 * np.log2(k)))))
-        least = min(int((code[i] != code[j]).sum()) for i in range(k) for j in range(i)) if (np.abs(code.sum(axis=0)) < k).all() else -1
+        alike = code @ code.T - 2 * code.shape[1] * np.eye(k)
+        least = int(code.shape[1] - alike.max()) // 2 if (np.abs(code.sum(axis=0)) < k).all() else -1
         if least > apart:
             best, apart = code, least
     return best
@@ -127,8 +124,9 @@ class CodeModel:
         """(language index, score, ambiguous) of each row."""
         if len(self.languages) == 1:
             return np.zeros(len(x), int), np.ones(len(x)), np.zeros(len(x), bool)
-        margin = (x @ self.weights)[:, None, :] * self.code[None]
-        loss = (np.logaddexp(0.0, -sharp * margin) * self.trust).sum(axis=2)
+        margin = sharp * (x @ self.weights)
+        for_one, for_other = np.logaddexp(0.0, -margin) * self.trust, np.logaddexp(0.0, margin) * self.trust
+        loss = (for_one + for_other).sum(axis=1, keepdims=True) / 2 + (for_one - for_other) / 2 @ self.code.T
         best = loss.argmin(axis=1)
         odds = np.exp(-sharp * (loss - loss.min(axis=1, keepdims=True)))
         two = np.sort(loss, axis=1)[:, :2]
@@ -138,28 +136,34 @@ class CodeModel:
 def _vectors(bits: int):
     def run(batches):
         for batch in batches:
-            data, at = buffers(batch.column(1))
+            data, at = buffers(batch.column(2))
             for lo, hi in pieces(at):
                 x = ngram_vectors(data[at[lo] : at[hi]], at[lo : hi + 1], bits)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array([r.tobytes() for r in x], pa.binary())], names=["lang", "x"])
+                part = batch.slice(lo, hi - lo)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([r.tobytes() for r in x], pa.binary())], names=["place", "lang", "x"])
 
     return run
 
 
-def fit_language_model(labelled: DataFrame, most_rows: int = 6000, most_languages: int = 64, bits: int = 11) -> CodeModel | None:
+def fit_language_model(labelled: DataFrame, most_rows: int = 6000, bits: int = 11) -> CodeModel | None:
     """A model from rows (doc_id, text, lang); the sample is the first rows of each language by a hash of the id."""
-    rows = labelled.where("lang is not null and text is not null")
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_languages).collect()
-    languages = sorted(r["lang"] for r in counts)
+    rows = labelled.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).where("lang is not null and text is not null")
+    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}  # a row a language
+    languages = sorted(counts)
     if not languages:
         return None
     each = max(1, most_rows // len(languages))
-    by = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    picked = rows.where(F.col("lang").isin(*languages)).select("doc_id", "lang").withColumn("place", F.row_number().over(by)).where(F.col("place") <= each)
-    sample = keep_ids(rows, picked.select("doc_id"), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").select("lang", "text")
-    got = sample.mapInArrow(_vectors(bits), "lang string, x binary").toArrow()
-    x = np.stack([np.frombuffer(v, np.float32) for v in got.column("x").to_pylist()])
-    y = np.array([languages.index(v) for v in got.column("lang").to_pylist()])
+    # somewhat more than enough rows of each language pass; the exact number of them is taken from those alone
+    shares = [(lang, min(1.0, (1.3 * each + 60) / n)) for lang, n in counts.items()]
+    shares = labelled.sparkSession.createDataFrame(shares, "lang string, share double")
+    place = F.xxhash64("doc_id")
+    near = rows.join(F.broadcast(shares), "lang").where(F.pmod(place, F.lit(1 << 32)) < F.col("share") * float(1 << 32))
+    by = Window.partitionBy("lang").orderBy(place, "doc_id", "text")
+    sample = near.withColumn("place", F.row_number().over(by)).where(F.col("place") <= each).select("place", "lang", "text")
+    got = sample.mapInArrow(_vectors(bits), "place int, lang string, x binary").toArrow().to_pydict()  # at most most_rows, or one a language
+    order = sorted(range(len(got["lang"])), key=lambda k: (got["place"][k], got["lang"][k]))
+    x = np.stack([np.frombuffer(got["x"][k], np.float32) for k in order])
+    y = np.array([languages.index(got["lang"][k]) for k in order])
     return CodeModel.fit(x, y, languages, bits)
 
 
@@ -169,7 +173,7 @@ def _predict(model: CodeModel | None):
             data, at = buffers(batch.column(1))
             for lo, hi in pieces(at):
                 texts = batch.column(1).slice(lo, hi - lo).to_pylist()
-                known = np.array([model is not None and t is not None and LETTER.search(t) is not None for t in texts])
+                known = np.array([model is not None and t is not None and any(c.isalpha() for c in t) for t in texts])
                 lang, score, vague = [UNDETERMINED] * len(texts), np.zeros(len(texts)), np.zeros(len(texts), bool)
                 if known.any():
                     best, sure, vague = model.decode(ngram_vectors(data[at[lo] : at[hi]], at[lo : hi + 1], model.bits))

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from orrery.llm.bpe import PieceEncoder
-from orrery.llm.shared import Workspace, task_count
+from orrery.llm.shared import BROADCAST_ROWS, Workspace, task_count
 from orrery.llm.wordhash import buffers, pieces
 
 
@@ -146,7 +146,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int = 1, length
     plan = spark.createDataFrame(rows or [(0, 0, 0, 1, 0)], "size int, first long, after long, slots long, base long")
     ahead = groups.withColumn("ahead", F.coalesce(F.sum("n").over(Window.partitionBy("size").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n")
     order = Window.partitionBy("size", "bucket").orderBy("doc_id", "start", "ids_crc32", "doc_tokens")
-    ranked = cut.withColumn("place", F.row_number().over(order) - 1).join(F.broadcast(ahead), ["size", "bucket"])
+    ranked = cut.withColumn("place", F.row_number().over(order) - 1).join(F.broadcast(ahead) if (length // unit) * task_count(spark) <= BROADCAST_ROWS else ahead, ["size", "bucket"])
     ranked = ranked.withColumn("rank", F.col("place") + F.col("ahead")).drop("place", "ahead", "bucket")
     p = F.broadcast(plan.withColumnRenamed("size", "plan_size"))  # patterns are bounded by the classes and what rounding leaves
     laid = ranked.join(p, (F.col("size") == F.col("plan_size")) & (F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("after")))

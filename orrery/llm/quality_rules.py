@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from orrery.llm.shared import Workspace, task_count
+from orrery.llm.shared import Workspace, few, task_count
 
 SPACE = "[\\x20\\x09-\\x0D]+"
 #: Character classes by what is left of a text without other characters; lower-case and the rest follow from the length.
@@ -55,8 +55,8 @@ def repeated_window_words(words: Column, n: int = 8) -> Column:
     return F.when(F.size(words) <= n, F.lit(0)).otherwise(let(hashes, covered))
 
 
-def common_words(ws: Workspace, docs: DataFrame, per_language: int = 24, longest: int = 5, most_languages: int = 64) -> DataFrame:
-    """(lang, words): the most frequent words of at most ``longest`` letters; the commonest languages, and ANY for all."""
+def common_words(ws: Workspace, docs: DataFrame, per_language: int = 24, longest: int = 5) -> DataFrame:
+    """(lang, words): the most frequent words of at most ``longest`` letters of every language, and ANY for all."""
     short = docs.select(
         F.coalesce("lang", F.lit(ANY)).alias("lang"),
         F.explode(F.transform(F.filter(word_array(F.col("text")), lambda w: F.char_length(w) <= longest), lambda w: F.lower(w))).alias("word"),
@@ -70,8 +70,7 @@ def common_words(ws: Workspace, docs: DataFrame, per_language: int = 24, longest
     for keys in (["lang", "share"], ["lang"]):
         by = Window.partitionBy(*keys).orderBy(F.desc("n"), "word")
         ranked = ranked.withColumn("place", F.row_number().over(by)).where(F.col("place") <= per_language)
-    lists = ranked.groupBy("lang").agg(F.array_sort(F.collect_list("word")).alias("words"), F.sum("n").alias("n"))
-    return lists.orderBy(F.desc(F.col("lang") == ANY), F.desc("n"), "lang").limit(most_languages).select("lang", "words")
+    return ranked.groupBy("lang").agg(F.array_sort(F.collect_list("word")).alias("words"))
 
 
 def js_distance(p: Column, q: Column) -> Column:
@@ -90,18 +89,20 @@ def js_distance(p: Column, q: Column) -> Column:
     return let(F.struct(total(p).alias("p"), total(q).alias("q")), distance)
 
 
-def text_features(docs: DataFrame, lists: list[tuple[str, list[str]]], n: int = 8, longest: int = 5) -> DataFrame:
-    """Counts and histograms of every text; lists: the common words of each language (a bounded literal)."""
-    codes = {w: chr(0xE000 + k) for k, w in enumerate(sorted({w for _, ws in lists for w in ws}))}
-    languages = {lang: [codes[w] for w in ws] for lang, ws in lists}
+def text_features(docs: DataFrame, lists: DataFrame, any_words: list[str], n: int = 8, longest: int = 5) -> DataFrame:
+    """Counts and histograms of every text; lists: (lang, words), a row a language; any_words: for texts of none of them."""
     text = F.coalesce("text", F.lit(""))
-    own = F.coalesce(*[F.when(F.col("lang") == lang, F.array(*[F.lit(c) for c in cs])) for lang, cs in languages.items() if lang != ANY], F.array(*[F.lit(c) for c in languages.get(ANY, [""])] or [F.lit("")]))
-    table = F.create_map(*[F.lit(x) for pair in codes.items() for x in pair]) if codes else F.create_map(F.lit(""), F.lit(""))
+    docs = docs.join(few(lists), "lang", "left").withColumn("own", F.when(F.col("words").isNull(), F.lit(ANY)).otherwise(F.col("lang")))
+    docs = docs.withColumn("words", F.coalesce("words", F.array(*[F.lit(w) for w in any_words]).cast("array<string>")))
+
+    def mark(place: Column) -> Column:
+        return F.chr(place + 64)
 
     def of_words(words: Column) -> Column:
         lines = F.filter(F.split(text, "\n"), lambda x: F.rlike(x, F.lit("[^\\x20\\x09-\\x0D]")))
         short = F.transform(F.filter(words, lambda w: F.char_length(w) <= longest), lambda w: F.lower(w))
-        coded = F.array_join(F.transform(F.filter(short, lambda w: w.isin(*codes)), lambda w: F.try_element_at(table, w)), "") if codes else F.lit("")
+        places = F.filter(F.transform(short, lambda w: F.array_position("words", w)), lambda k: k > 0)
+        coded = F.array_join(F.transform(places, mark), "")
         return F.struct(
             F.size(words).cast("long").alias("n_words"),
             F.char_length(F.array_join(words, "")).cast("long").alias("word_chars"),
@@ -111,13 +112,13 @@ def text_features(docs: DataFrame, lists: list[tuple[str, list[str]]], n: int =
         )
 
     left = {k: F.char_length(F.regexp_replace(text, F.lit(v), F.lit(""))).cast("long").alias(k) for k, v in CLASSES.items()}
-    out = docs.select("doc_id", "lang", F.char_length(text).cast("long").alias("chars"), let(word_array(text), of_words).alias("w"), *left.values())
-    hist = F.transform(own, lambda c: (F.char_length("w.coded") - F.char_length(F.replace("w.coded", c, F.lit("")))).cast("double"))
+    out = docs.select("doc_id", "own", "words", F.char_length(text).cast("long").alias("chars"), let(word_array(text), of_words).alias("w"), *left.values())
+    hist = F.transform("words", lambda _, k: (F.char_length("w.coded") - F.char_length(F.replace("w.coded", mark(k + 1), F.lit("")))).cast("double"))
     rest = F.col("chars") - F.col("upper") - F.col("digit") - F.col("stop") - F.col("symbol") - F.col("beyond")
     space = F.col("chars") - F.col("w.word_chars")
     return out.select(
         "doc_id",
-        "lang",
+        "own",
         "chars",
         *[F.col(f"w.{c}").alias(c) for c in ("n_words", "word_chars", "n_dup_lines", "n_repeat_words")],
         F.col("symbol").alias("n_symbols"),
@@ -148,23 +149,21 @@ def judge_quality(
     spark = docs.sparkSession
     ws = Workspace(spark, "quality")
     docs = docs.select("doc_id", F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
-    lists = [(r["lang"], r["words"]) for r in common_words(ws, docs, per_language).collect()]  # at most 64 rows of 24 words
-    features = ws.save(text_features(docs, lists, window), "features")
-    size = max([per_language, *(len(w) for _, w in lists)]) + 1
+    lists = ws.save(common_words(ws, docs, per_language), "lists")
+    any_words = [w for r in lists.where(F.col("lang") == ANY).collect() for w in r["words"]]  # one row
+    features = ws.save(text_features(docs, lists.where(F.col("lang") != ANY), any_words, window), "features")
+    size = per_language + 1
     sums = [_mean("char_hist", 7).alias("char_ref"), _mean("word_hist", size).alias("word_ref"), F.count("*").alias("docs")]
-    known = [lang for lang, _ in lists if lang != ANY]
-    own = F.when(F.col("lang").isin(*known), F.col("lang")).otherwise(F.lit(ANY)) if known else F.lit(ANY)
-    each = features.withColumn("own", own)
+    each = features.withColumn("word_hist", F.concat(F.slice("word_hist", 1, F.size("word_hist") - 1), F.array_repeat(F.lit(0.0), F.lit(size) - F.size("word_hist")), F.slice("word_hist", -1, 1)))
     refs = ws.save(each.groupBy("own").agg(*sums), "refs")
     whole = features.agg(F.lit(None).cast("string").alias("own"), sums[0])
     whole = whole.withColumn("join", F.lit(1))
     # Languages with few documents lend no reference of their own for characters; their words stay theirs.
     refs = refs.withColumn("join", F.lit(1)).join(whole.select("join", F.col("char_ref").alias("all_ref")), "join")
     refs = refs.select("own", F.when((F.col("docs") >= least_docs) & (F.col("own") != ANY), F.col("char_ref")).otherwise(F.col("all_ref")).alias("char_ref"), F.col("word_ref"), (F.col("docs") >= least_docs).alias("firm"))
-    out = each.join(F.broadcast(refs), "own", "left")  # at most 65 rows
-    padded = F.concat("word_hist", F.array_repeat(F.lit(0.0), F.lit(size) - F.size("word_hist")))
+    out = each.join(few(ws.save(refs, "references")), "own", "left")  # a row a language
     out = out.withColumn("char_distance", F.when(F.col("chars") >= guard_chars, js_distance(F.col("char_hist"), F.col("char_ref"))))
-    out = out.withColumn("word_distance", F.when((F.col("n_words") >= guard_words) & F.col("firm"), js_distance(padded, F.col("word_ref"))))
+    out = out.withColumn("word_distance", F.when((F.col("n_words") >= guard_words) & F.col("firm"), js_distance(F.col("word_hist"), F.col("word_ref"))))
     failed = (F.col("n_words") < least_words) | (F.col("n_repeat_words") * 100 > F.col("n_words") * most_repeat_percent)
     scatter = F.greatest(F.lit(most_word_distance), F.sqrt(F.lit(word_scatter) / (F.col("n_words") + guard_words)))
     most_words = F.when(F.col("own") == ANY, F.lit(most_mixed_distance)).otherwise(scatter)

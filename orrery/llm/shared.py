@@ -12,9 +12,11 @@ BROADCAST_ROWS = 400_000
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder all executors share (spark.checkpoint.dir); a folder of one's own only where it is unset."""
+    """The folder all executors share (spark.checkpoint.dir); where it is unset, a folder of its own, on a local master only."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         import tempfile
 
         global _OWN_ROOT

@@ -1,7 +1,8 @@
 """Token counts through a digest cache.
 
-The cache is a table (content, tokenizer, n_tokens): SHA-256 of the normalised text (null as empty)
-and of the tokenizer's file. A call joins its documents' digests to the stored counts, encodes one
+The cache is a table (content, tokenizer, n_tokens): SHA-256 of the normalised text and of the tokenizer's
+file. Normalised is: null as empty and, for a tokenizer that itself takes runs of spaces as one and none at
+the ends, runs of spaces as one and none at the ends; nothing else, as it could change the count. A call joins its documents' digests to the stored counts, encodes one
 document of each digest that is missing and appends those counts; the answer is then a join. A new
 version of a tokenizer has another digest, so its counts never mix with older ones.
 
@@ -12,13 +13,14 @@ other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import re
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orrery.llm.shared import keep_ids
+from orrery.llm.shared import Workspace, keep_ids
 from orrery.llm.wordhash import buffers, pieces
 
 _MODELS: dict = {}
@@ -40,6 +42,21 @@ def _counter(path: str):
     return _MODELS[path]
 
 
+def spaces_are_one(path: str) -> bool:
+    """Whether the tokenizer gives the same for a text with more spaces between and around words."""
+    if not path.endswith(".model"):
+        return False
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    apart = "".join(f" {w}  " for w in ("one", "two", "\u00e9", "3.", "\n", "\t x", "<s>", "\u2581"))
+    return model.encode(apart) == model.encode(re.sub(" +", " ", apart).strip(" "))
+
+
+def normalised(text: Column) -> Column:
+    return F.trim(F.regexp_replace(text, F.lit(" +"), F.lit(" ")))
+
+
 def _count(path: str):
     def run(batches):
         count = _counter(path)
@@ -68,15 +85,23 @@ class CountCache:
 
     def count(self, docs: DataFrame, tokenizer_path: str) -> DataFrame:
         """(doc_id, n_bytes, n_tokens) of every row; misses are encoded and appended first."""
+        ws = Workspace(self.spark, "counted")
         version = hashlib.sha256(Path(tokenizer_path).read_bytes()).hexdigest()
-        docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-        asked = docs.select("doc_id", F.unhex(F.sha2("text", 256)).alias("content"), F.octet_length("text").cast("long").alias("n_bytes"))
-        missing = asked.join(self.stored(version).select("content"), "content", "left_anti")
-        first = missing.groupBy("content").agg(F.min("doc_id").alias("doc_id"))
-        texts = keep_ids(docs.where("doc_id is not null"), first.where("doc_id is not null").select("doc_id"), "doc_id")
-        nameless = docs.where("doc_id is null").withColumn("content", F.unhex(F.sha2("text", 256)))
-        nameless = nameless.join(first.where("doc_id is null").select("content"), "content", "left_semi").dropDuplicates(["content"])
-        texts = texts.unionByName(nameless.select("doc_id", "text"))
-        fresh = texts.select(F.unhex(F.sha2("text", 256)).alias("content"), "text").mapInArrow(_count(tokenizer_path), "content binary, n_tokens long")
+        text, plain = F.coalesce(F.col("text").cast("string"), F.lit("")), spaces_are_one(tokenizer_path)
+        docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
+
+        def digested(df: DataFrame) -> DataFrame:
+            return df.withColumn("content", F.unhex(F.sha2(normalised(F.col("text")) if plain else F.col("text"), 256)))
+
+        asked = ws.save(digested(docs).select("doc_id", "content", F.octet_length("text").cast("long").alias("n_bytes")), "asked")
+        first = asked.groupBy("content").agg(F.min("doc_id").alias("doc_id")).join(self.stored(version).select("content"), "content", "left_anti")
+        first = ws.save(first, "first")
+        texts = digested(keep_ids(docs, first.where("doc_id is not null").select("doc_id"), "doc_id"))
+        nameless = first.where("doc_id is null").select("content")
+        if nameless.limit(1).count():
+            texts = texts.unionByName(digested(docs.where("doc_id is null")).join(nameless, "content", "left_semi").dropDuplicates(["content"]).select(*texts.columns))
+        fresh = texts.select("content", "text").mapInArrow(_count(tokenizer_path), "content binary, n_tokens long")
         fresh.select("content", F.lit(version).alias("tokenizer"), "n_tokens").write.mode("append").parquet(self.path)
-        return asked.join(self.stored(version), "content").select("doc_id", "n_bytes", "n_tokens")
+        # Both sides are plain tables, so a content that a third of the rows have is split between tasks.
+        known = ws.save(self.stored(version), "known")
+        return asked.join(known, "content").select("doc_id", "n_bytes", "n_tokens")
