@@ -158,7 +158,7 @@ def seeded_order(seed: int | str, *keys: Column) -> Column:
 
 def cadence(ratio: float) -> tuple[int, int]:
     """(positives, negatives) of the shortest repeating schedule that has the share of positives."""
-    part = Fraction(min(1.0, max(0.0, ratio))).limit_denominator(10_000)
+    part = Fraction(min(1.0, max(0.01, ratio))).limit_denominator(10_000)
     p, q = part.numerator, part.denominator - part.numerator
     if not p or not q:
         return (1, 0) if p else (0, 1)

@@ -14,13 +14,42 @@ def value_counts(df: DataFrame, column: str, missing: str | None = "Unknown") ->
     return df.groupBy((F.coalesce(key, F.lit(missing)) if missing is not None else key).alias("value")).agg(F.count("*").alias("n"))
 
 
+def quantiles(df: DataFrame, keys: list[str], value: Column, wanted: dict[str, float], buckets: int = 4096) -> DataFrame:
+    """(keys, a column a quantile): exact, linear between neighbours; nulls are left out.
+
+    Values are counted by equal ranges between a key's ends; only the ranges that hold a wanted place are
+    then counted value by value, so no task meets all values of a key unless they lie in one range.
+    """
+    rows = df.select(F.struct(*keys, F.lit(0).alias("_")).alias("_k"), value.cast("double").alias("_v")).where("_v is not null")
+    ends = rows.groupBy("_k").agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.count("*").alias("_n"))
+    share = F.try_divide(F.col("_v") - F.col("_lo"), F.col("_hi") - F.col("_lo"))
+    rows = rows.join(ends, "_k").select("_k", "_v", F.least(F.lit(buckets - 1), F.floor(F.coalesce(share, F.lit(0.0)) * buckets)).cast("int").alias("_b"))
+    before = Window.partitionBy("_k").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    counts = rows.groupBy("_k", "_b").agg(F.count("*").alias("_c")).withColumn("_ahead", F.coalesce(F.sum("_c").over(before), F.lit(0)))
+    asked = F.explode(F.array(*[F.struct(F.lit(n).alias("name"), F.lit(q).alias("q"), F.lit(k).alias("next")) for n, q in wanted.items() for k in (0, 1)]))
+    at = ends.select("_k", "_n", asked.alias("w")).withColumn("_place", F.least(F.col("_n") - 1, F.floor((F.col("_n") - 1) * F.col("w.q")) + F.col("w.next")))
+    at = at.join(counts, "_k").where("_place >= _ahead and _place < _ahead + _c").withColumn("_in", F.col("_place") - F.col("_ahead"))
+    near = rows.join(at.select("_k", "_b").distinct(), ["_k", "_b"], "left_semi").groupBy("_k", "_b", "_v").agg(F.count("*").alias("_m"))
+    upto = F.sum("_m").over(Window.partitionBy("_k", "_b").orderBy("_v"))
+    hit = near.withColumn("_upto", upto).join(at, ["_k", "_b"]).where("_in < _upto and _in >= _upto - _m")
+    def part(name: str, k: int) -> Column:
+        return F.max(F.when((F.col("w.name") == name) & (F.col("w.next") == k), F.col("_v")))
+
+    def between(name: str, q: float) -> Column:
+        exact = (F.max("_n") - 1) * q
+        return part(name, 0) + (part(name, 1) - part(name, 0)) * (exact - F.floor(exact))
+
+    return hit.groupBy("_k").agg(*[between(n, q).alias(n) for n, q in wanted.items()]).select(*[F.col(f"_k.{k}").alias(k) for k in keys], *wanted)
+
+
 def describe(df: DataFrame, keys: list[str], column: str) -> DataFrame:
     """count, mean, sample std (0 for one value), min, quartiles, max; exact, NaN as null."""
     x = finite(F.col(column).cast("double"))
-    q = [F.percentile(x, p).alias(n) for n, p in (("p25", 0.25), ("median", 0.5), ("p75", 0.75))]
     std = F.when(F.count(x) > 0, F.coalesce(F.stddev_samp(x), F.lit(0.0)))
-    aggs = [F.count(x).alias("n"), F.avg(x).alias("mean"), std.alias("std"), F.min(x).alias("min"), *q, F.max(x).alias("max")]
-    return df.groupBy(*keys).agg(*aggs)
+    aggs = [F.count(x).alias("n"), F.avg(x).alias("mean"), std.alias("std"), F.min(x).alias("min"), F.max(x).alias("max")]
+    q = quantiles(df, keys, x, {"p25": 0.25, "median": 0.5, "p75": 0.75})
+    out = df.groupBy(*keys).agg(*aggs).withColumn("_k", F.struct(*keys))
+    return out.join(q.withColumn("_k", F.struct(*keys)).drop(*keys), "_k", "left").select(*keys, "n", "mean", "std", "min", "p25", "median", "p75", "max")
 
 
 def top_and_other(df: DataFrame, column: str, n: int, other: str = "other") -> DataFrame:
@@ -50,10 +79,10 @@ def fit_summary(boxes: DataFrame, scope: str, scopes: list[str], width: float, h
         F.count_if((w > width) & (h > height)).alias("too_both"),
         F.count_if((w > width) & (h <= height)).alias("too_wide"),
         F.count_if((w <= width) & (h > height)).alias("too_tall"),
-        F.median(side).alias("median_side"),
-        F.percentile(side, 0.95).alias("p95_side"),
     )
     got = got.withColumn("scope", F.coalesce(F.col(scope), F.lit("all"))).drop(scope)
+    both = boxes.select(F.explode(F.array(F.lit("all"), F.col(scope))).alias("scope"), side.alias("side"))
+    got = got.join(quantiles(both, ["scope"], F.col("side"), {"median_side": 0.5, "p95_side": 0.95}), "scope", "left")
     listed = boxes.sparkSession.createDataFrame([(s,) for s in ["all", *scopes]], "scope string")
     return listed.join(got, "scope", "left").na.fill(0, ["boxes", "fit", "too_both", "too_wide", "too_tall"])
 

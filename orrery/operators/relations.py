@@ -39,6 +39,36 @@ def numbered(df: DataFrame, name: str, keys: list[str], order: list[Column | str
     return df.withColumn(name, (F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) + (start - 1)).cast("long"))
 
 
+def numbered_by_range(df: DataFrame, name: str, keys: list[str], column: str, ties: list[str] | None = None, start: int = 0, ranges: int = 4096) -> DataFrame:
+    """Dense running numbers within keys by an integer column; rows are numbered within ranges of it and the ranges' counts give the rest."""
+    bounds = df.agg(F.min(column).alias("_lo"), F.max(column).alias("_hi"))
+    d = df.crossJoin(F.broadcast(bounds))  # one row
+    place = F.floor((F.col(column) - F.col("_lo")) / F.greatest(F.lit(1.0), (F.col("_hi") - F.col("_lo") + 1) / float(ranges)))
+    d = d.withColumn("_k", F.struct(*keys, F.coalesce(place, F.lit(-1).cast("long")).alias("_range"))).drop("_lo", "_hi")
+    before = Window.partitionBy(*[F.col(f"_k.{k}") for k in keys]).orderBy("_k._range").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = d.groupBy("_k").agg(F.count("*").alias("_n")).select("_k", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_ahead"))
+    out = d.withColumn(name, F.row_number().over(Window.partitionBy("_k").orderBy(column, *(ties or []))) + (start - 1))
+    return out.join(ahead, "_k").withColumn(name, (F.col(name) + F.col("_ahead")).cast("long")).drop("_k", "_ahead")
+
+
+def one_to_one(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join by a key that neither side may repeat, adding only the columns that left lacks; a repeated key raises."""
+    for what, side in (("left", left), ("right", right)):
+        if bad := side.groupBy(*keys).count().where("count > 1").take(5):
+            raise ValueError(f"{what} repeats keys: {bad}")
+    return left.join(right.select(*keys, *[c for c in right.columns if c not in left.columns]), keys, "left")
+
+
+def evenly_spaced(df: DataFrame, order: str, most: int) -> DataFrame:
+    """Rows at distinct half-even rounded, evenly spaced places of an integer order (both ends among them)."""
+    d = numbered_by_range(df, "_place", [], order)
+    n = df.agg(F.count("*").alias("_n"))
+    k = F.least(F.lit(most), F.col("_n"))
+    step = F.when(k > 1, (F.col("_n") - 1) / (k - 1)).otherwise(F.lit(0.0))
+    want = n.where(k > 0).select(F.explode(F.array_distinct(F.transform(F.sequence(F.lit(0).cast("long"), k.cast("long") - 1), lambda i: F.bround(i * step).cast("long")))).alias("_place"))
+    return d.join(F.broadcast(want), "_place", "left_semi").drop("_place")  # at most `most` places
+
+
 def with_fallback(left: DataFrame, first: DataFrame, second: DataFrame, first_keys: list[str], second_keys: list[str], values: list[str]) -> DataFrame:
     """Values from ``first`` where its key is present, even with nulls, else from ``second``."""
     a = first.select(*first_keys, *[F.col(v).alias(f"_a_{v}") for v in values], F.lit(True).alias("_hit"))

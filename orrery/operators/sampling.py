@@ -17,6 +17,20 @@ def hash_rank(keys: list[str], order: Column, *ties: str) -> Column:
     return F.row_number().over(Window.partitionBy(*keys).orderBy(order, *ties))
 
 
+def seeded_rank(df: DataFrame, name: str, keys: list[str], seed: int | str, key: str, digits: int = 3) -> DataFrame:
+    """df with its 1-based place in the seeded order within keys; no task sorts a whole group.
+
+    Rows are numbered within buckets of the digest's first digits, and the buckets' counts give what lies
+    before each; a key's counts are 16 ** digits numbers at most. Null keys are a group.
+    """
+    digest = seeded_order(seed, F.col(key))
+    d = df.withColumn("_digest", digest).withColumn("_k", F.struct(*keys, F.left("_digest", F.lit(digits)).alias("_bucket")))
+    before = Window.partitionBy(*[F.col(f"_k.{k}") for k in keys]).orderBy("_k._bucket").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = d.groupBy("_k").agg(F.count("*").alias("_n")).select("_k", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_ahead"))
+    placed = d.withColumn(name, F.row_number().over(Window.partitionBy("_k").orderBy("_digest", key)))
+    return placed.join(ahead, "_k").withColumn(name, F.col(name) + F.col("_ahead")).drop("_k", "_digest", "_ahead")
+
+
 def group_split(df: DataFrame, group: str, official: Column, fraction: float, seed: int) -> DataFrame:
     """train, val or test by whole groups: official test groups stay, a fraction of the others is val.
 
@@ -24,8 +38,9 @@ def group_split(df: DataFrame, group: str, official: Column, fraction: float, se
     """
     test = F.lower(F.trim(official)) == "test"
     groups = df.groupBy(group).agg(F.max(F.coalesce(test, F.lit(False))).alias("_test"))
-    rank = hash_rank(["_test"], seeded_order(seed, F.col(group)), group)
-    n = F.count("*").over(Window.partitionBy("_test"))
+    sizes = groups.groupBy("_test").agg(F.count("*").alias("_size"))  # two rows
+    groups = seeded_rank(groups, "_rank", ["_test"], seed, group).join(F.broadcast(sizes), "_test")
+    rank, n = F.col("_rank"), F.col("_size")
     want = F.when((n > 1) & F.lit(fraction > 0), F.greatest(F.lit(1.0), F.bround(n * fraction))).otherwise(0)
     split = F.when(F.col("_test"), "test").when(rank <= want, "val").otherwise("train")
     return df.join(groups.withColumn("export_split", split).select(group, "export_split"), group)
@@ -45,7 +60,7 @@ def stratified_quota(groups: DataFrame, stratum: str, n: int) -> DataFrame:
 
 def stratified_sample(groups: DataFrame, group: str, stratum: str, n: int, seed: int) -> DataFrame:
     quota = stratified_quota(groups, stratum, n).select(stratum, "quota")
-    ranked = groups.withColumn("_rank", hash_rank([stratum], seeded_order(seed, F.col(group)), group))
+    ranked = seeded_rank(groups, "_rank", [stratum], seed, group)
     return ranked.join(quota, stratum).where("_rank <= quota").drop("_rank", "quota")
 
 
@@ -85,7 +100,7 @@ def count_matched_sample(df: DataFrame, group: str, stratum: str, groups: int, m
     classes = {(r[stratum], r["size"]): r["count"] for r in each.groupBy(stratum, "size").count().collect()}  # strata times distinct sizes
     quota = count_matched_quota(classes, groups, members)
     plan = df.sparkSession.createDataFrame([(*key, n) for key, n in quota.items() if n], f"{stratum} string, size long, _quota long")
-    ranked = each.withColumn("_rank", hash_rank([stratum, "size"], seeded_order(seed, F.col(group)), group))
+    ranked = seeded_rank(each, "_rank", [stratum, "size"], seed, group)
     return ranked.join(F.broadcast(plan), [stratum, "size"]).where("_rank <= _quota").select(group, stratum, "size")
 
 
@@ -95,8 +110,7 @@ def positive_ratio(df: DataFrame, positive: str, ratio: float, seed: int, key: s
     ok = F.lit(True) if eligible is None else eligible
     use = df.where(F.col(positive) | ok)
     counts = use.groupBy(*keys).agg(F.count_if(F.col(positive)).alias("_pos"))
-    rank = hash_rank([*keys, positive], seeded_order(seed, F.col(key)), key)
-    ranked = use.withColumn("_rank", rank)
+    ranked = seeded_rank(use, "_rank", [*keys, positive], seed, key)
     ranked = ranked.join(counts, keys) if keys else ranked.crossJoin(F.broadcast(counts))  # one row
     return ranked.where((F.col("_pos") > 0) & (F.col(positive) | (F.col("_rank") <= wanted_negatives(F.col("_pos"), ratio)))).drop("_rank", "_pos")
 
@@ -104,7 +118,7 @@ def positive_ratio(df: DataFrame, positive: str, ratio: float, seed: int, key: s
 def negative_fraction(df: DataFrame, positive: str, fraction: float, seed: int, key: str, within: list[str]) -> DataFrame:
     """All positives and the fraction of the negatives, rounded half to even."""
     counts = df.groupBy(*within).agg(F.count_if(~F.col(positive)).alias("_neg"))
-    ranked = df.withColumn("_rank", hash_rank([*within, positive], seeded_order(seed, F.col(key)), key)).join(counts, within)
+    ranked = seeded_rank(df, "_rank", [*within, positive], seed, key).join(counts, within)
     return ranked.where(F.col(positive) | (F.col("_rank") <= F.bround(F.col("_neg") * fraction))).drop("_rank", "_neg")
 
 
@@ -121,6 +135,49 @@ def ratio_mixture(mass: int, negative: int, target: float, mandatory: int = 0) -
     return best
 
 
+def nearest_mixture(mass: Column, negative: Column, target: float) -> Column:
+    """struct(mass, negative): the largest whole mixture of both pools nearest the target share, ties to the larger."""
+    total = F.least(F.floor(mass / target), F.floor(negative / (1.0 - target))) if target < 1 else mass
+    m0 = F.least(mass, F.bround(total * target).cast("long"))
+    n0 = F.least(negative, total - m0)
+    near = [F.struct(F.abs(m / (m + n) - target).alias("off"), (-(m + n)).alias("size"), m.alias("mass"), n.alias("negative")) for m, n in ((m0 + a, n0 + b) for a in (-1, 0, 1) for b in (-1, 0, 1))]
+    fits = F.filter(F.array(*[F.when((x["mass"].between(0, mass)) & (x["negative"].between(0, negative)) & (x["size"] < 0), x) for x in near]), lambda x: x.isNotNull())
+    best = F.array_min(fits)
+    return F.struct(mass.alias("mass"), F.lit(0).cast("long").alias("negative")) if target >= 1 else F.struct(best["mass"].alias("mass"), best["negative"].alias("negative"))
+
+
+def source_ratio(df: DataFrame, mass_source: str, positive: str, target: float, seed: int, key: str, within: list[str], strict: bool = False) -> DataFrame:
+    """Rows balanced by the status of their source, not their own label; positive rows of mass sources are all kept.
+
+    Adds mass_candidates, negative_candidates, mandatory, selected_mass and selected_negative. A group without both
+    pools, or whose mixture can't hold the positive rows, has no answer: strict raises, otherwise it gives no rows.
+    """
+    m = F.col(mass_source)
+    pools = df.groupBy(*within).agg(F.count_if(m).alias("mass_candidates"), F.count_if(~m).alias("negative_candidates"), F.count_if(m & F.col(positive)).alias("mandatory"))
+    mixture = nearest_mixture(F.col("mass_candidates"), F.col("negative_candidates"), target)
+    pools = pools.withColumn("_mix", F.when((F.col("mass_candidates") > 0) & ((F.col("negative_candidates") > 0) | F.lit(target >= 1)), mixture))
+    pools = pools.withColumns({"selected_mass": F.col("_mix.mass"), "selected_negative": F.col("_mix.negative")}).drop("_mix")
+    ok = F.col("selected_mass").isNotNull() & (F.col("mandatory") <= F.col("selected_mass"))
+    if strict and (bad := pools.where(~F.coalesce(ok, F.lit(False))).take(5)):
+        raise ValueError(f"no mixture for {bad}")
+    d = df.withColumn("_class", F.when(~m, 2).when(F.col(positive), 0).otherwise(1))
+    d = seeded_rank(d, "_rank", [*within, "_class"], seed, key).join(F.broadcast(pools.where(ok)), within)  # a row a group
+    most = F.when(F.col("_class") == 2, F.col("selected_negative")).when(F.col("_class") == 1, F.col("selected_mass") - F.col("mandatory"))
+    return d.where((F.col("_class") == 0) | (F.col("_rank") <= most)).drop("_class", "_rank")
+
+
+def hashed_unit(seed: int | str, *keys: Column) -> Column:
+    """A reproducible number in [0, 1) from the digest of seed and keys."""
+    return F.conv(F.left(seeded_order(seed, *keys), F.lit(8)), 16, 10).cast("double") / float(1 << 32)
+
+
+def first_acceptable(df: DataFrame, keys: list[str], place: str, accepted: str) -> DataFrame:
+    """Of each key's tries the first accepted one, else the last; with whether it was accepted."""
+    order = F.struct((~F.col(accepted)).alias("a"), F.when(F.col(accepted), F.col(place)).otherwise(-F.col(place)).alias("b"))
+    rest = [c for c in df.columns if c not in keys]
+    return df.groupBy(*keys).agg(F.min_by(F.struct(*rest), order).alias("_s")).select(*keys, "_s.*")
+
+
 def online_balance(df: DataFrame, keys: list[str], order: list[str], positive: str, ratio: float) -> DataFrame:
     """One-pass balancing as windows: a negative is admitted iff fewer were so far than the positives so far allow.
 
@@ -139,7 +196,7 @@ def online_balance(df: DataFrame, keys: list[str], order: list[str], positive: s
 
 def cadence_schedule(df: DataFrame, positive: str, seed: int, key: str, positives: int, negatives: int) -> DataFrame:
     """Rows with their schedule place: runs of positives and negatives in turn; the rest as reserve (place null)."""
-    ranked = df.withColumn("_i", hash_rank([positive], seeded_order(seed, F.col(key)), key) - 1)
+    ranked = seeded_rank(df, "_i", [positive], seed, key).withColumn("_i", F.col("_i") - 1)
     count = df.agg(F.count_if(F.col(positive)).alias("_pos"), F.count_if(~F.col(positive)).alias("_neg"))
     ranked = ranked.crossJoin(F.broadcast(count))  # one row
     budget = F.least(F.col("_neg"), F.ceil(F.col("_pos") * negatives / max(1, positives))) if negatives else F.lit(0)

@@ -304,7 +304,7 @@ select split, annotation_id, image_id, bx0 as x, by0 as y, bx1 - bx0 as width, b
  round((bx0 + bx1) / 2 / w, 10) as cx, round((by0 + by1) / 2 / h, 10) as cy from r""")
 def coco_annotations(spark, sf):
     b = box(spark, sf).join(src(spark, sf), "image_id").where("bx1 > bx0 and by1 > by0")
-    b = J.numbered(b, "annotation_id", ["split"], ["image_id", "line", "bx0", "by0", "bx1", "by1"], 1)
+    b = J.numbered_by_range(b, "annotation_id", ["split"], "image_id", ["line", "bx0", "by0", "bx1", "by1"], 1)
     w, h = F.col("bx1") - F.col("bx0"), F.col("by1") - F.col("by0")
     return b.select("split", "annotation_id", "image_id", F.col("bx0").alias("x"), F.col("by0").alias("y"), w.alias("width"), h.alias("height"), (w * h).alias("area"), F.round((F.col("bx0") + F.col("bx1")) / 2 / F.col("w"), 10).alias("cx"), F.round((F.col("by0") + F.col("by1")) / 2 / F.col("h"), 10).alias("cy"))
 
@@ -348,9 +348,9 @@ def unique_key_match(spark, sf):
     return J.unique_key_join(table(spark, sf, "supplier").select("s_suppkey", "s_nationkey"), customers, ["s_nationkey"], ["c_custkey"]).select("s_suppkey", "c_custkey")
 
 
-@register("select doc_id, d.doc_id is not null as in_documents, l.doc_id is not null as in_labels from (select doc_id from documents where doc_id % 3 <> 0) d full join labels l using (doc_id)")
+@register("select doc_id, d.doc_id is not null as in_documents, l.doc_id is not null as in_labels from (select distinct doc_id from documents) d full join (select distinct doc_id from labels) l using (doc_id)")
 def png_float_outer(spark, sf):
-    return J.presence(table(spark, sf, "documents").where("doc_id % 3 <> 0"), table(spark, sf, "labels"), ["doc_id"], ("in_documents", "in_labels"))
+    return J.presence(table(spark, sf, "documents"), table(spark, sf, "labels"), ["doc_id"], ("in_documents", "in_labels"))
 
 
 @register(f"""with {SRC}, {BOX} select s.split, count(*) as before, count_if(b.image_id is not null) as after from src s left join (select distinct image_id from box where category = 'R') b using (image_id) group by s.split""")
@@ -393,11 +393,8 @@ for _name, _direction in (("first_per_key", "asc"), ("last_per_key", "desc")):
 
 @register(f"with {SRC} select image_id, split, row_number() over (partition by split order by image_id) - 1 as in_split, row_number() over (order by image_id) - 1 as overall from src")
 def cumcount_split(spark, sf):
-    """Dense numbers in a split, and overall: places within ranges of ids plus the ranges' counts before them."""
-    s = src(spark, sf).select("image_id", "split").withColumn("range", F.floor(F.col("image_id") / 1024))
-    ahead = s.groupBy("range").agg(F.count("*").alias("n")).withColumn("ahead", F.coalesce(F.sum("n").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    out = J.numbered(J.numbered(s, "in_split", ["split"], ["image_id"]), "place", ["range"], ["image_id"])
-    return out.join(ahead, "range").select("image_id", "split", "in_split", (F.col("place") + F.col("ahead")).alias("overall"))
+    s = src(spark, sf).select("image_id", "split")
+    return J.numbered_by_range(J.numbered_by_range(s, "in_split", ["split"], "image_id"), "overall", [], "image_id")
 
 
 @register("with c as (select source, count(*) as n from documents group by source), r as (select *, row_number() over (order by n desc, source) as k from c) select case when k <= 5 then source else 'other' end as value, cast(sum(n) as bigint) as n from r group by 1")
@@ -476,8 +473,11 @@ def crop_size_fit(spark, sf):
     b = box(spark, sf)
     each = b.select(F.lit("box").alias("kind"), F.greatest(F.col("bx1") - F.col("bx0"), F.col("by1") - F.col("by0")).alias("side"))
     union = b.groupBy("image_id").agg(F.greatest(F.max("bx1") - F.min("bx0"), F.max("by1") - F.min("by0")).alias("side")).select(F.lit("image").alias("kind"), "side")
-    quantiles = [F.round(F.percentile("side", q), 6).alias(n) for n, q in (("q90", 0.9), ("q95", 0.95), ("q99", 0.99))]
-    return each.unionByName(union).groupBy("kind").agg(F.count("*").alias("n"), *quantiles, F.max("side").alias("max_side"), F.round(F.avg(F.when(F.col("side") <= 640, 100.0).otherwise(0.0)), 6).alias("fits_percent"))
+    both, names = each.unionByName(union), ("q90", "q95", "q99")
+    q = A.quantiles(both, ["kind"], F.col("side"), dict(zip(names, (0.9, 0.95, 0.99))))
+    fits = F.avg(F.when(F.col("side") <= 640, 100.0).otherwise(0.0))
+    out = both.groupBy("kind").agg(F.count("*").alias("n"), F.max("side").alias("max_side"), F.round(fits, 6).alias("fits_percent"))
+    return out.join(q, "kind").select("kind", "n", *[F.round(c, 6).alias(c) for c in names], "max_side", "fits_percent")
 
 
 @register(f"""with {BOX}, {SRC}, b as (select split, bx1 - bx0 as bw, by1 - by0 as bh from box join src using (image_id)), g as (select coalesce(split, 'all') as scope, count(*) as boxes, count_if(bw <= 120 and bh <= 100) as fit, count_if(bw > 120 and bh > 100) as too_both, count_if(bw > 120 and bh <= 100) as too_wide, count_if(bw <= 120 and bh > 100) as too_tall, median(greatest(bw, bh)) as median_side, round(quantile_cont(greatest(bw, bh), 0.95), 6) as p95_side from b group by rollup(split))
@@ -513,7 +513,9 @@ def crops_per_source_hist(spark, sf):
 select *, round(n * 100.0 / sum(n) over (partition by category), 6) as percent from c""")
 def coco_size_stats(spark, sf):
     b = box(spark, sf).select("category", ((F.col("bx1") - F.col("bx0")) * (F.col("by1") - F.col("by0"))).alias("area")).withColumn("size_class", X.box_size_class(F.col("area")))
-    c = b.groupBy("category", "size_class").agg(F.count("*").alias("n"), F.round(F.median("area"), 6).alias("median_area"), F.round(F.percentile("area", 0.1), 6).alias("p10"), F.round(F.percentile("area", 0.9), 6).alias("p90"))
+    q = A.quantiles(b, ["category", "size_class"], F.col("area"), {"median_area": 0.5, "p10": 0.1, "p90": 0.9})
+    c = b.groupBy("category", "size_class").agg(F.count("*").alias("n")).join(q, ["category", "size_class"])
+    c = c.select("category", "size_class", "n", *[F.round(x, 6).alias(x) for x in ("median_area", "p10", "p90")])
     return c.withColumn("percent", F.round(A.percent_of(["category"], F.col("n")), 6))
 
 
@@ -563,7 +565,7 @@ def group_split_hash(spark, sf):
     return S.group_split(src(spark, sf), "study_id", official, 0.15, 123).select("image_id", "study_id", "export_split")
 
 
-_STRATA = f"""{SRC}, st as (select study_id, string_agg(distinct lower(trim(birads)), '|' order by lower(trim(birads))) as stratum from src where image_id % 3 = 0 group by study_id),
+_STRATA = f"""{SRC}, st as (select study_id, string_agg(distinct lower(trim(birads)), '|' order by lower(trim(birads))) as stratum from src group by study_id),
 z as (select stratum, count(*) as size from st group by stratum), e as (select *, 40.0 * size / sum(size) over () as exact, least(size, floor(40.0 * size / sum(size) over ())) as base from z),
 q as (select *, base < size as op, 40 - sum(base) over () as lft, row_number() over (partition by base < size order by exact - base desc, stratum) as place from e),
 quota as (select stratum, size, cast(base + case when op and place <= lft then 1 else 0 end as bigint) as quota from q)"""
@@ -571,7 +573,7 @@ quota as (select stratum, size, cast(base + case when op and place <= lft then 1
 
 def _strata(spark, sf):
     label = F.concat_ws("|", F.array_sort(F.collect_set(F.lower(F.trim("birads")))))
-    return src(spark, sf).where("image_id % 3 = 0").groupBy("study_id").agg(label.alias("stratum"))
+    return src(spark, sf).groupBy("study_id").agg(label.alias("stratum"))
 
 
 @register(f"with {_STRATA} select * from quota")
