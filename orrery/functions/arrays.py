@@ -79,3 +79,34 @@ def longest_run(df: DataFrame, key: str, place: str, flag: str) -> DataFrame:
     runs = hit.groupBy(key, "island").agg(F.min(place).cast("long").alias("start"), F.count("*").alias("length"))
     best = Window.partitionBy(key).orderBy(F.desc("length"), "start")
     return runs.withColumn("r", F.row_number().over(best)).where("r = 1").select(key, "start", "length")
+
+
+def histogram_shares(a: Column, bins: int) -> Column:
+    """Shares of the equal bins between an array's ends, each with 1e-12 more; a flat array lies in the first."""
+    places = F.transform(min_max(a), lambda x: F.least(F.lit(bins - 1), F.floor(x * bins)))
+    counts = let(places, lambda p: F.transform(F.sequence(F.lit(0), F.lit(bins - 1)), lambda b: F.size(F.filter(p, lambda x: x == b)) + F.lit(1e-12)))
+    return let(counts, lambda n: let(total(n), lambda s: F.transform(n, lambda x: x / s)))
+
+
+def entropy(a: Column, bins: int = 64) -> Column:
+    """Entropy of the histogram as a share of the most that so many bins can have."""
+    return -total(F.transform(histogram_shares(a, bins), lambda p: p * F.log2(F.greatest(p, F.lit(1e-12))))) / F.log2(F.lit(float(max(bins, 2))))
+
+
+def summary(a: Column, quantiles: tuple[float, ...], bins: int = 64) -> Column:
+    """struct(percentiles, mean, std, iqr, entropy) of the finite values; an array without one counts as a zero."""
+    finite = F.filter(a, lambda x: ~F.isnan(x) & (F.abs(x) < float("inf")))
+    whole = F.when(F.size(finite) > 0, finite).otherwise(F.array(F.lit(0.0)))
+
+    def of(s: Column) -> Column:
+        m = mean_std(s)
+        return F.struct(F.array(*[quantile(s, q) for q in quantiles]).alias("percentiles"), m["mean"].alias("mean"), m["std"].alias("std"), (quantile(s, 0.75) - quantile(s, 0.25)).alias("iqr"), entropy(s, bins).alias("entropy"))
+
+    return let(F.array_sort(whole), of)
+
+
+def centroid(a: Column) -> Column:
+    """Mean place weighted by the positive values; null where they add up to nothing."""
+    up = F.transform(a, lambda x: F.greatest(F.lit(0.0), F.nanvl(x, F.lit(0.0))))
+    placed = F.transform(up, lambda x, i: x * i)
+    return F.when(total(up) > 1e-8, total(placed) / total(up))

@@ -98,3 +98,29 @@ def safe_origins(lo: Column, hi: Column, size: int, margin: int, most: Column) -
     """Interval of window origins that keep [lo, hi] inside by a margin; nulls where there is none."""
     a, b = F.greatest(F.lit(0.0), F.ceil(hi + margin - size)), F.least(most, F.floor(lo - margin))
     return F.when(a <= b, a.cast("long")), F.when(a <= b, b.cast("long"))
+
+
+def scale_boxes(b: list[Column], shape: tuple[Column, Column], to: tuple[Column, Column]) -> list[Column]:
+    """Boxes from one (width, height) to another; unknown shapes leave them as they are."""
+    return [F.coalesce(c * (to[k % 2] / shape[k % 2].cast("double")), c) for k, c in enumerate(b)]
+
+
+def resize_mapping(mode: Column, width: Column, height: Column, to_width: int, to_height: int) -> tuple[Column, Column, Column, Column]:
+    """(scale x, scale y, pad x, pad y) of resizing by mode: none, stretch or fit_pad (centred, sizes half to even)."""
+    kx, ky = F.lit(float(to_width)) / width, F.lit(float(to_height)) / height
+    fit = F.least(kx, ky)
+    sx, sy = (F.when(mode == "none", 1.0).when(mode == "stretch", k).otherwise(fit) for k in (kx, ky))
+    pads = (F.floor((F.lit(n) - F.greatest(F.lit(1.0), F.bround(size * fit))) / 2) for n, size in ((to_width, width), (to_height, height)))
+    px, py = (F.when(mode == "fit_pad", p).otherwise(0) for p in pads)
+    return sx, sy, px, py
+
+
+def coarse_positions(lo: Column, hi: Column, step: int) -> Column:
+    """Origins from lo to hi by step, hi included; lo alone where the interval is empty."""
+    return F.array_distinct(F.concat(F.sequence(lo, F.greatest(lo, hi), F.lit(max(1, step)).cast("long")), F.array(F.greatest(lo, hi))))
+
+
+def peak_score(peak: Column, x0: Column, x1: Column, size: int) -> Column:
+    """1 for a peak inside the window, falling with the distance from its centre."""
+    away = F.abs(peak - (x0 + x1) / 2.0) / float(max(1, size))
+    return F.when(peak.between(x0, x1), 1.0).otherwise(F.greatest(F.lit(0.0), 1.0 - away))

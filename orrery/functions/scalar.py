@@ -168,3 +168,65 @@ def cadence(ratio: float) -> tuple[int, int]:
 def ordered_rank(c: Column, order: list[str]) -> Column:
     """Place of a value in an ordered list; unknown values are null."""
     return F.nullif(F.array_position(F.array(*[F.lit(x) for x in order]), c), F.lit(0).cast("long"))
+
+
+# Names of a selection mode as users write them.
+SELECTION_MODES = {
+    "all": ("all", "all_windows"),
+    "mass_only": ("mass_only", "positive_only", "mass only"),
+    "positive_ratio": ("positive_ratio", "all_mass_plus_sampled_non_mass", "all mass + sampled non-mass"),
+    "crop_label_ratio": ("crop_label_ratio", "crop mass/empty ratio", "mass crops + negative-image empty crops", "positive_ratio_negative_images_only"),
+    "negative_fraction": ("negative_fraction", "negative fraction", "all_positive_plus_negative_fraction", "all positive + fraction of negatives"),
+    "source_breast_ratio": ("source_breast_ratio", "source breast ratio", "breast_status_ratio", "mass/negative breasts"),
+    "finding_images_all_windows": (
+        "finding_images_all_windows",
+        "finding_images_only_all_windows",
+        "findings_images_all_windows",
+        "finding images, all windows",
+        "finding images only, all windows",
+        "images with findings, all windows",
+        "positive images, all windows",
+    ),
+}
+
+
+def selection_mode(c: Column, include_empty: Column | bool = True) -> Column:
+    """The mode that a text means; for other texts all or mass_only, by whether empty windows are wanted."""
+    plain = F.lower(F.trim(c))
+    known = F.coalesce(*[F.when(plain.isin(*names), F.lit(mode)) for mode, names in SELECTION_MODES.items()])
+    return F.coalesce(known, F.when(F.lit(include_empty) if isinstance(include_empty, bool) else include_empty, "all").otherwise("mass_only"))
+
+
+def parse_sizes(c: Column) -> Column:
+    """array<struct<width, height>> of a list such as '1024, 640x512'; null if a part is no size, none is there or one is repeated."""
+    parts = F.filter(F.transform(F.split(c, "[,;\n]+"), lambda p: F.trim(p)), lambda p: p != "")
+    form = r"^(\d+)(?:\s*[xX]\s*(\d+))?$"
+
+    def size(p: Column) -> Column:
+        w, h = F.regexp_extract(p, form, 1), F.regexp_extract(p, form, 2)
+        return F.struct(w.try_cast("int").alias("width"), F.when(h == "", w).otherwise(h).try_cast("int").alias("height"))
+
+    sizes = F.transform(parts, size)
+    good = (F.size(parts) > 0) & F.forall(parts, lambda p: p.rlike(form)) & (F.size(F.array_distinct(sizes)) == F.size(sizes))
+    return F.when(good, sizes)
+
+
+def passes(fraction: Column, threshold: float, comparison: str = "greater_than_or_equal") -> Column:
+    """A threshold that is inclusive or strict, by the names of both."""
+    mode = comparison.strip().casefold()
+    if mode in ("strictly_greater_than", "greater_than", ">", "strict"):
+        return fraction > threshold
+    if mode in ("greater_than_or_equal", "greater_than_or_equal_to", ">=", "inclusive"):
+        return fraction >= threshold
+    raise ValueError(f"unknown comparison {comparison}")
+
+
+def positive_or(first: Column, other: Column) -> Column:
+    """The first number if it is positive, else the other."""
+    return F.coalesce(F.when(first > 0, first), other).cast("long")
+
+
+def patch_grid(width: Column, height: Column, patch: int, registers: int) -> tuple[Column, Column, Column]:
+    """(columns, rows, tokens) of a model input cut into square patches; one class token and the registers come first."""
+    w, h = (F.floor(F.greatest(F.lit(patch), c) / patch).cast("long") for c in (width, height))
+    return w, h, w * h + (1 + registers)

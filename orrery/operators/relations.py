@@ -125,6 +125,13 @@ def changed_fields(df: DataFrame, key: str, order: list[str], fields: dict[str,
     return out.where(~F.equal_null("old", "new"))
 
 
+def nested_targets(images: DataFrame, findings: DataFrame, key: str, fields: list[str], is_mass: Column) -> DataFrame:
+    """Images with ``findings``, an ordered array of structs, and ``masses``, those of them that are masses; empty arrays where there is none."""
+    rows = findings.select(key, F.struct(*fields, F.coalesce(is_mass, F.lit(False)).alias("is_mass")).alias("f")).groupBy(key).agg(F.array_sort(F.collect_list("f")).alias("findings"))
+    out = images.join(rows, key, "left").withColumn("findings", F.coalesce("findings", F.array().cast(rows.schema["findings"].dataType)))
+    return out.withColumn("masses", F.filter("findings", lambda f: f["is_mass"]))
+
+
 def first_text(*columns: Column) -> Column:
     """First of some columns that isn't blank."""
     return F.coalesce(*[F.when(F.trim(c) != "", c) for c in columns])

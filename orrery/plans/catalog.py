@@ -116,12 +116,13 @@ def window_box_overlap(spark, sf):
     return pairs.groupBy("image_id", "x0", "y0").agg(F.count("*").alias("boxes"), F.count_if(v >= 0.5).alias("kept"), F.bool_or((v > 0) & (v < 1)).alias("cuts_any"), F.round(F.max(v), 9).alias("max_visible"), (F.max(v) <= 0.1).alias("clean"))
 
 
-def candidates(spark, sf, size=640, stride=512, least=0.5, extent=0.1):
+def candidates(spark, sf, size=640, stride=512, least=0.5, extent=0.1, boxes=None):
     """Windows with label, extent and eligibility; the join is within an image."""
+    boxes = box(spark, sf) if boxes is None else boxes
     windows = G.grid(src(spark, sf), "w", "h", size, stride, "regular_stride_pad")
-    pairs = J.window_boxes(windows, box(spark, sf), "image_id", least)
+    pairs = J.window_boxes(windows, boxes, "image_id", least)
     hits = pairs.groupBy("image_id", "x0", "y0").agg(F.count("*").alias("n_boxes"))
-    mass = box(spark, sf).select("image_id").distinct().withColumn("image_has_mass", F.lit(True))
+    mass = boxes.select("image_id").distinct().withColumn("image_has_mass", F.lit(True))
     out = windows.join(hits, ["image_id", "x0", "y0"], "left").join(mass, "image_id", "left").na.fill(0, ["n_boxes"]).na.fill(False, ["image_has_mass"])
     share = G.source_extent(wcols(), F.col("w"), F.col("h"), size)
     out = out.withColumn("positive", F.col("n_boxes") > 0).withColumn("extent", F.round(share, 9))
@@ -731,3 +732,6 @@ def count_matched_split(spark: SparkSession, sf: str) -> DataFrame:
     """100 studies with 1,000 images, exactly; a choice over all classes at once has no SQL form."""
     images = src(spark, sf).withColumn("stratum", F.concat(F.lit("S"), (F.col("study_id") % 3).cast("string")))
     return S.count_matched_sample(images, "study_id", "stratum", 100, 1000, 123)
+
+
+from orrery.plans import extended  # noqa: E402,F401  (registers its queries)

@@ -132,3 +132,62 @@ def test_count_matched_sample(spark):
                 quota = count_matched_quota(classes, groups, members)
                 assert tuple(quota[c] for c in classes) in exact
                 assert abs(sum(abs(quota[c] - groups * n / 9) for c, n in classes.items()) - min(cost)) < 1e-9
+
+
+def test_source_ratio(spark):
+    """A pool of eight mass-breast windows, three of them with a lesion, and five negatives: ten rows, half of each."""
+    from orrery.operators.sampling import source_ratio
+
+    rows = [("s", f"m{k}", True, k < 3) for k in range(8)] + [("s", f"n{k}", False, False) for k in range(5)] + [("t", "m", True, True)]
+    df = spark.createDataFrame(rows, "split string, key string, mass boolean, positive boolean")
+    got = source_ratio(df, "mass", "positive", 0.5, 1, "key", ["split"]).collect()
+    assert len(got) == 10 and sum(r.mass for r in got) == 5 and {"m0", "m1", "m2"} <= {r.key for r in got}
+    with pytest.raises(ValueError):
+        source_ratio(df, "mass", "positive", 0.5, 1, "key", ["split"], strict=True)
+
+
+def test_quantiles(spark):
+    """Ties, one value, nulls, null keys and an outlier that puts all else in one range."""
+    from pyspark.sql import functions as F
+
+    from orrery.operators.aggregate import quantiles
+
+    values = {"a": [1.0, 2.0, 2.0, 3.0, 1e12], "b": [5.0], None: [1.0, 4.0], "c": [7.0] * 9}
+    df = spark.createDataFrame([(k, v) for k, vs in values.items() for v in [*vs, None]], "k string, v double")
+    wanted = {"lo": 0.0, "q": 0.3, "hi": 1.0}
+    got = {r.k: (r.lo, r.q, r.hi) for r in quantiles(df, ["k"], F.col("v"), wanted).collect()}
+    for k, vs in values.items():
+        for have, q in zip(got[k], wanted.values()):
+            at = (len(vs) - 1) * q
+            low = sorted(vs)[int(at)]
+            assert have == pytest.approx(low + (sorted(vs)[min(int(at) + 1, len(vs) - 1)] - low) * (at - int(at)))
+
+
+def test_seeded_rank(spark):
+    from orrery.operators.relations import evenly_spaced, numbered_by_range, one_to_one
+    from orrery.operators.sampling import seeded_rank
+
+    df = spark.range(500).selectExpr("id", "if(id % 5 = 0, null, id % 2) as g").repartition(7)
+    import hashlib
+
+    got = {(r.g, r["_r"]): r.id for r in seeded_rank(df, "_r", ["g"], 3, "id").collect()}
+    for g, ids in ((None, range(0, 500, 5)), (0, [k for k in range(500) if k % 5 and k % 2 == 0]), (1, [k for k in range(500) if k % 5 and k % 2])):
+        order = sorted(ids, key=lambda k: hashlib.md5(f"3:{k}".encode()).hexdigest())
+        assert [got[g, k + 1] for k in range(len(order))] == order
+    numbered = sorted((r.id, r.n) for r in numbered_by_range(df, "n", ["g"], "id", ranges=8).where("g is null").collect())
+    assert numbered == [(k * 5, k) for k in range(100)]
+    assert sorted(r.id for r in evenly_spaced(df, "id", 3).collect()) == [0, 250, 499]
+    with pytest.raises(ValueError):
+        one_to_one(df, df.select("g").withColumnRenamed("g", "id"), ["id"])
+
+
+def test_parse_sizes(spark):
+    from pyspark.sql import functions as F
+
+    from orrery.functions.scalar import parse_sizes, passes
+
+    texts = [("1024, 640x512;\n 3 X 4", [(1024, 1024), (640, 512), (3, 4)]), ("64 by 64", None), ("", None), ("5,5x5", None)]
+    df = spark.createDataFrame([(t,) for t, _ in texts], "t string").select("t", parse_sizes(F.col("t")).alias("s"))
+    assert {r.t: r.s and [tuple(x) for x in r.s] for r in df.collect()} == dict(texts)
+    with pytest.raises(ValueError):
+        passes(F.lit(1), 0.5, "about")
