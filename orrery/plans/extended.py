@@ -17,18 +17,18 @@ from orrery.plans.catalog import _CAND, _VIS, BOX, SRC, bcols, box, candidates,
 
 # ---- balancing by the status of the source breast ---------------------------------------------------
 
-MASS = "l_returnflag = 'R'"
+MASS = "l_returnflag = 'R' and l_linenumber >= 6"
 _BREAST = f"""{_CAND.replace("from lineitem)", f"from lineitem where {MASS})")},
 br as (select study_id, laterality, bool_or(image_id in (select image_id from box)) as breast_has_mass from src group by all),
 b as (select ok.*, breast_has_mass from ok join br using (study_id, laterality))"""
 
 
 def _breast_candidates(spark, sf):
-    """Candidate windows of the boxes of category R with the status of their breast (study and side)."""
-    s = src(spark, sf)
-    lesions = box(spark, sf).where("category = 'R'").select("image_id").distinct().withColumn("hit", F.lit(True))
+    """Candidate windows of the lesions (boxes of category R on late lines) with the status of their breast (study and side)."""
+    s, boxes = src(spark, sf), box(spark, sf).where("category = 'R' and line >= 6")
+    lesions = boxes.select("image_id").distinct().withColumn("hit", F.lit(True))
     breasts = s.join(lesions, "image_id", "left").groupBy("study_id", "laterality").agg(F.coalesce(F.bool_or("hit"), F.lit(False)).alias("breast_has_mass"))
-    return candidates(spark, sf, boxes=box(spark, sf).where("category = 'R'")).join(breasts, ["study_id", "laterality"])
+    return candidates(spark, sf, boxes=boxes).join(breasts, ["study_id", "laterality"])
 
 
 @register(f"""with {_BREAST}, p as (select split, count_if(breast_has_mass) as m, count_if(not breast_has_mass) as n, count_if(breast_has_mass and positive) as mand from b group by split),
