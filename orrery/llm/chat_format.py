@@ -95,7 +95,7 @@ def format_conversations(rows: DataFrame, template: Template = Template()) -> Da
 
 
 def read_back(formatted: DataFrame, template: Template = Template()) -> DataFrame:
-    """(conv_id, formatted, turns array<struct<role, text>>, learned) parsed from the segments' text and flags alone."""
+    """(conv_id, formatted, turns array<struct<role, text>>, learned, state, valid): turns and learned are parsed from the segments' text and flags alone."""
     text = F.array_join(F.transform("segments", lambda s: s["text"]), "")
     learned = F.array_join(F.transform(F.filter("segments", lambda s: s["loss"]), lambda s: unescape(s["text"], template)), "")
     close = "".join(f"\\x{ord(c):02x}" for c in template.close)
@@ -106,6 +106,6 @@ def read_back(formatted: DataFrame, template: Template = Template()) -> DataFram
         body = F.substr(piece, at + F.lit(len(template.colon)))
         return F.struct(_role(title, template).alias("role"), unescape(body, template).alias("text"))
 
-    out = formatted.select("conv_id", text.alias("formatted"), learned.alias("learned"))
+    out = formatted.select("conv_id", text.alias("formatted"), learned.alias("learned"), "state", "valid")
     pieces = F.filter(F.split("formatted", close), lambda p: p != "")
-    return out.select("conv_id", "formatted", F.transform(pieces, turn).alias("turns"), "learned")
+    return out.select("conv_id", "formatted", F.transform(pieces, turn).alias("turns"), "learned", "state", "valid")

@@ -51,6 +51,8 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.char_length("learned").cast("long").alias("loss_chars"),
         F.sha2("learned", 256).alias("loss_sha256"),
         F.char_length("formatted").cast("long").alias("formatted_chars"),
+        "state",
+        "valid",
     )
 
 
@@ -60,13 +62,16 @@ with rows as (
   select conv_id, turn, role, coalesce(text, '') as text from conversations
   union all select -7, 0, 'user', '\### Assistant: </turn> ok'
   union all select -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+s as (select *, lag(role, 1, 'start') over w as before, row_number() over w as place from rows window w as (partition by conv_id order by turn, role, text)),
 t as (
-  select *, replace(replace(replace(text, '\', '\0'), '###', '\1'), '</turn>', '\2') as safe from rows)
+  select *, replace(replace(replace(text, '\', '\0'), '###', '\1'), '</turn>', '\2') as safe,
+    coalesce(before || '>' || role in ('start>system', 'start>user', 'system>user', 'user>assistant', 'assistant>user'), false) as allowed from s)
 select conv_id, count(*) as n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
   cast(coalesce(sum(case when role = 'assistant' then length(text) end), 0) as bigint) as loss_chars,
   sha256(coalesce(string_agg(case when role = 'assistant' then text end, '' order by turn, role, text), '')) as loss_sha256,
-  cast(sum(4 + length(role) + 2 + length(safe) + 8) as bigint) as formatted_chars
+  cast(sum(4 + length(role) + 2 + length(safe) + 8) as bigint) as formatted_chars,
+  case when bool_and(allowed) then arg_max(role, place) else 'reject' end as state, bool_and(allowed) and arg_max(role, place) = 'assistant' as valid
 from t group by conv_id
 """
 
@@ -128,6 +133,15 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op10_warc"] = op10_warc
+_BASE32 = " || ".join(f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', cast((v >> {s}) & 31 as integer) + 1, 1)" for s in (15, 10, 5, 0))
+ORACLES["op10_warc"] = f"""
+with p as (select page_id, coalesce(html, '') as html from pages where page_id is not null),
+d as (select page_id, strlen(html) as payload_bytes, sha1(html) as h, min(page_id) over (partition by html) as first from p),
+v as (select page_id, i, cast('0x' || substr(h, 5 * i + 1, 5) as bigint) as v from (select page_id, h, unnest(range(8)) as i from d)),
+b as (select page_id, string_agg({_BASE32}, '' order by i) as payload_digest from v group by page_id)
+select page_id, payload_bytes, payload_digest, case when page_id = first then 'response' else 'revisit' end as record_type, case when page_id <> first then first end as refers_to
+from d join b using (page_id)
+"""
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,10 @@
 """Operators against brute force, round trips and held-out accuracy on small tables with odd rows."""
 
+import base64
+import hashlib
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -115,9 +119,13 @@ def test_quality(docs, texts):
     for r in judge_quality(docs.where("doc_id is not null")).collect():
         w = texts[r.doc_id].encode().split()
         grams = [tuple(w[k : k + 8]) for k in range(len(w) - 7)]
-        twice = {g for g in grams if grams.count(g) > 1} if len(grams) < 3000 else set(grams)
+        twice = {g for g, n in Counter(grams).items() if n > 1}
         covered = {k + j for k, g in enumerate(grams) if g in twice for j in range(8)}
+        text = texts[r.doc_id]
+        lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
         assert (r.n_words, r.n_repeat_words) == (len(w), len(covered))
+        assert r.word_chars == len(re.sub(r"[\x20\x09-\x0D]+", "", text)) and r.n_symbols == sum(text.count(c) for c in "#*$%&|<>")
+        assert r.n_dup_lines == len(lines) - len(set(lines))
         assert r.base_failed == (len(w) < 20 or 100 * len(covered) > 30 * len(w)) and not (r.base_failed and r.kept)
 
 
@@ -144,10 +152,15 @@ def test_quality_words(spark):
 def test_language(docs):
     from orrery.llm.language_id import fit_language_model, predict_language
 
-    model = fit_language_model(docs.where("doc_id % 4 <> 2"))
+    odd = docs.sparkSession.createDataFrame([(20_000, "\u00b2 \u00bd", None), (20_001, "\u2460\u2461 7", None)], "doc_id long, text string, lang string")
+    docs = docs.unionByName(odd)
+    out = "crc32(cast(cast(doc_id as string) as binary)) % 4 = 2"
+    model = fit_language_model(docs.where(f"not ({out})"))
     got = {r.doc_id: r for r in predict_language(docs, model).collect()}
-    held = [(r.lang, got[r.doc_id].lang_pred) for r in docs.where("doc_id % 4 = 2 and lang is not null").collect()]
+    held = [(r.lang, got[r.doc_id].lang_pred) for r in docs.where(f"{out} and lang is not null").collect()]
     assert sum(a == b for a, b in held) >= 0.95 * len(held)
+    assert all(zlib.crc32(str(i).encode()) % 4 == 2 for (i,) in docs.where(out).select("doc_id").collect())
+    assert got[20_000].lang_pred == got[20_001].lang_pred == "und"
     assert got[10_001].lang_pred == got[10_002].lang_pred == "und" and got[10_001].score == 0
 
 
@@ -164,6 +177,17 @@ def test_packing(docs, texts):
     for r in rows:
         total[r.doc_id] = total.get(r.doc_id, 0) + r.length
     assert all(total[r.doc_id] == r.doc_tokens for r in rows)
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    ids = {i: np.array([*tokenizer.encode(t, add_special_tokens=False).ids, 1], "<u4") for i, t in texts.items()}
+    at = dict.fromkeys(ids, 0)
+    for r in sorted(rows, key=lambda r: (r.doc_id, r.start)):
+        assert r.start == at[r.doc_id] and r.ids_crc32 == zlib.crc32(ids[r.doc_id][r.start : r.start + r.length].tobytes())
+        at[r.doc_id] += r.length
+    assert at == {i: len(x) for i, x in ids.items()} == total
+    least = -(-sum(total.values()) // 2048)
+    assert len(fill) <= 1.02 * least + 2
 
 
 def test_token_counts(spark, docs, texts, tmp_path):
@@ -236,6 +260,7 @@ def test_warc(spark):
     got = {r.page_id: r for r in read_archives(*write_archives(spark.createDataFrame(rows, "page_id long, url string, html string"))).collect()}
     assert {i: (r.record_type, r.refers_to) for i, r in got.items()} == {1: ("response", None), 3: ("revisit", 1), 2: ("response", None), 5: ("revisit", 2), 4: ("response", None)}
     assert all(got[i].payload_bytes == len((h or "").encode()) for i, _, h in rows)
+    assert all(got[i].payload_digest == base64.b32encode(hashlib.sha1((h or "").encode()).digest()).decode() for i, _, h in rows)
 
 
 def test_warc_repeated_ids(spark):
@@ -307,3 +332,127 @@ def test_pipeline_stages(spark):
             assert i not in kept
         elif all(lcs_length(w, coded) < 0.6 * len(w) for w in items):
             assert i in kept
+
+
+def test_words_that_polynomials_confuse(spark):
+    """Thue-Morse words and their complements, alike under any polynomial hash, in shingles, windows and items."""
+    from orrery.llm.decontamination import benchmark_matches
+    from orrery.llm.ngram_join import ngram_jaccard_components
+    from orrery.llm.substring_dedup import remove_spans, repeated_spans
+
+    for rounds in (5, 8, 10, 11):
+        one = "a"
+        for _ in range(rounds):
+            one += one.translate(str.maketrans("ab", "ba"))
+        two = one.translate(str.maketrans("ab", "ba"))
+        df = spark.createDataFrame([(1, f"x y z {one}"), (2, f"x y z {two}")], "doc_id long, text string")
+        assert {r.doc_id: r.component_id for r in ngram_jaccard_components(df, 4, 85, 100).collect()} == {1: 1, 2: 2}
+    head = " ".join(f"w{k}" for k in range(49))
+    df = spark.createDataFrame([(1, f"{head} {one}"), (2, f"{head} {two}"), (3, f"{head} {one}  q")], "doc_id long, text string")
+    assert {r.doc_id: r.n_removed for r in remove_spans(df, repeated_spans(df)).collect()} == {1: 0, 2: 0, 3: 50}
+    items = spark.createDataFrame([(1, f"{one} {one} {one}")], "item_id long, text string")
+    assert [r.doc_id for r in benchmark_matches(spark.createDataFrame([(1, f"q {one} {one} {one}"), (2, f"q {two} {two} {two}")], "doc_id long, text string"), items).collect()] == [1]
+
+
+def test_paraphrases(spark):
+    """Of items whose copies were edited, those that keep 0.6 of the words in order and half of the answer are found."""
+    from orrery.llm.decontamination import benchmark_matches, lcs_length
+
+    rng = np.random.default_rng(9)
+    docs = [r.text.split() for r in spark.read.parquet(f"{SF}/documents.parquet").collect() if r.text and 40 < len(r.text.split()) < 3000]
+    pool = [w for d in docs for w in d]
+    items = {r.item_id: r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()}
+
+    def parts(text):
+        return "".join(c.lower() if c.isalnum() or ord(c) > 127 else " " for c in text).split()
+
+    rows, wanted = [], set()
+    for k, (i, text) in enumerate(sorted(items.items()) * 4):
+        kept = [pool[rng.integers(len(pool))] if rng.random() < 0.18 else w for w in text.split() if rng.random() > 0.08]
+        host, own = docs[k % len(docs)], parts(text)
+        rows.append((50_000 + k, " ".join([*host, *kept, *host[::-1]])))
+        code = {w: n for n, w in enumerate(set(own))}
+        a, b = np.array([code[w] for w in own]), np.array([code.get(w, -1) for w in parts(" ".join(kept))])
+        answer = a[len(a) - max(1, -(-len(a) // 4)) :]
+        if lcs_length(a, b) >= 0.6 * len(a) and lcs_length(answer, b) >= 0.5 * len(answer):
+            wanted.add((50_000 + k, i))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in benchmark_matches(df, spark.createDataFrame(list(items.items()), "item_id long, text string")).collect()}
+    assert len(wanted) > 50 and len(wanted & got) >= 0.9 * len(wanted)
+
+
+def test_latent_basis(spark):
+    """The randomised SVD over partitions against the dense one."""
+    from orrery.llm.decontamination import latent_basis, unit_entries
+
+    rng = np.random.default_rng(2)
+    weights = rng.random(60) + 0.1
+    lists = [rng.integers(0, 60, rng.integers(1, 30)).tolist() for _ in range(300)]
+    basis, sizes = latent_basis(spark.createDataFrame([(x,) for x in lists], "words array<long>").repartition(5), weights, 10, rounds=12)
+    row, word, value = unit_entries(np.array([len(x) for x in lists]), np.concatenate(lists), weights)
+    a = np.zeros((300, 60))
+    a[row, word] = value
+    assert np.allclose(np.linalg.norm(a, axis=1), 1)
+    assert np.allclose(sizes, np.linalg.svd(a, compute_uv=False)[:10], rtol=0.02) and np.allclose(basis.T @ basis, np.eye(10), atol=1e-6)
+
+
+def test_many_languages(spark):
+    """Every language is learned and has a list of its own, however many there are."""
+    from orrery.llm.language_id import fit_language_model, predict_language
+    from orrery.llm.quality_rules import judge_quality
+
+    def word(k, j):
+        return "".join(chr(97 + (k * 7 + j * 3 + n * (k % 5 + 1)) % 26) for n in range(4))
+
+    rows = [(k * 25 + d, " ".join(word(k, (d + j) % 9) for j in range(60)), f"l{k:02d}") for k in range(70) for d in range(25)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert len(fit_language_model(df).languages) == 70
+    assert len({r.lang_pred for r in predict_language(df, fit_language_model(df)).collect()}) > 64
+    assert all(r.word_distance is not None for r in judge_quality(df).collect())
+
+
+def test_repeated_ids(spark):
+    """Rows that repeat an id: counted once in groups, cut only where they are the chosen text, kept as many in the pipeline."""
+    import corpus_pipeline
+    from orrery.llm.ngram_join import ngram_jaccard_components
+    from orrery.llm.substring_dedup import remove_spans, repeated_spans
+
+    base, other = " ".join(f"a{k}" for k in range(60)), " ".join(f"b{k}" for k in range(70))
+    rows = [(1, base), (2, base), (2, base), (3, other), (3, base + " c"), (4, other)]
+    df = spark.createDataFrame([(i, t, "en", "s", len(t), k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, lang string, source string, n_chars int, n_words int")
+    assert sorted((r.doc_id, r.component_id) for r in ngram_jaccard_components(df).collect()) == [(1, 1), (2, 1), (3, 1), (4, 4)]
+    cut = sorted((r.doc_id, r.n_words, r.n_removed) for r in remove_spans(df, repeated_spans(df)).collect())
+    assert cut == [(1, 60, 0), (2, 60, 60), (2, 60, 60), (3, 61, 60), (3, 70, 0), (4, 70, 0)]
+    left = sorted((r.doc_id, r.n_words, r.text) for r in corpus_pipeline.repeated_passages(spark, df, SF).collect())
+    assert left == [(1, 0, base), (3, 3, other), (3, 4, "c"), (4, 5, other)]
+
+
+def test_empty_tables_and_clashing_columns(spark):
+    """No rows give no rows; columns named as the operators' own are ignored."""
+    from orrery.llm import queries as Q
+
+    class Tables:
+        def __init__(self, **frames):
+            self.frames = frames
+
+        def __call__(self, spark, sf_dir, name):
+            return self.frames[name]
+
+    real, clash = Q._table, "n long, token long, component_id long, window long, words string, spans string, rank long, content string, own string, first long, n_words long"
+    extra = {c.split()[0]: c.split()[1] for c in clash.split(", ")}
+    tables = {name: spark.read.parquet(f"{SF}/{name}.parquet") for name in ("documents", "pages", "benchmark", "conversations")}
+    try:
+        Q._table = Tables(**{k: v.limit(0) for k, v in tables.items()})
+        for name, query in Q.QUERIES.items():
+            assert query(spark, SF).count() == (1 if name.startswith("op3") else 0), name
+        from pyspark.sql import functions as F
+
+        small = {k: v.where(f"{v.columns[0]} < 40") for k, v in tables.items()}
+        wide = {k: v.withColumns({c: F.lit("7").cast(t) for c, t in extra.items() if c not in v.columns}) for k, v in small.items()}
+        for name in ("op1_ngram_jaccard_join", "op2_substring_dedup", "op4_quality_rules", "op6_packing", "op9_benchmark_decontamination", "op10_warc"):
+            Q._table = Tables(**small)
+            want = sorted(map(repr, Q.QUERIES[name](spark, SF).collect()))
+            Q._table = Tables(**wide)
+            assert sorted(map(repr, Q.QUERIES[name](spark, SF).collect())) == want, name
+    finally:
+        Q._table = real
