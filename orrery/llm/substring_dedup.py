@@ -229,28 +229,39 @@ class FingerprintIndex:
         self.ws.drop(*(name for name, _ in old))
 
 
+def merged_spans(row: np.ndarray, at: np.ndarray, step: np.ndarray, times: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, start, end) of the words that n-word windows at ``times`` places ``step`` apart cover, merged where they meet, sorted."""
+    apart = step > n  # else there is no gap between a run's windows
+    each = np.where(apart, times, 1)
+    of = np.repeat(np.arange(len(at)), each)
+    k = np.arange(len(of)) - np.repeat(np.cumsum(each) - each, each)
+    lo = at[of] + k * step[of]
+    hi = lo + np.where(apart, 0, (times - 1) * step)[of] + n
+    row = row[of]
+    order = np.lexsort((lo, row))
+    row, lo, hi = row[order], lo[order], hi[order]
+    if not len(lo):
+        return row, lo, hi
+    wide = int(hi.max()) + 1  # rows end to end, so that one running maximum serves all
+    reach = np.maximum.accumulate(hi + row * wide)
+    cut = np.concatenate(([True], lo[1:] + row[1:] * wide > reach[:-1]))
+    last = np.append(np.flatnonzero(cut)[1:], len(lo)) - 1
+    return row[cut], lo[cut], reach[last] - row[last] * wide
+
+
 def _spans(n: int):
     """Word spans covered by repeated windows: sorted, apart."""
 
     def run(batches):
         for batch in batches:
-            out = []
-            for found in batch.column(1).to_pylist():
-                spans: list[dict] = []
-                places: list[tuple[int, int]] = []
-                for x in found:
-                    at, step, times = x["at"], x["step"], x["times"]
-                    if step <= n:  # no gap between
-                        places.append((at, at + (times - 1) * step + n))
-                    else:
-                        places.extend((at + k * step, at + k * step + n) for k in range(times))
-                for lo, hi in sorted(places):
-                    if spans and lo <= spans[-1]["end"]:
-                        spans[-1]["end"] = max(spans[-1]["end"], hi)
-                    else:
-                        spans.append({"start": lo, "end": hi})
-                out.append(spans)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))], names=["doc_id", "spans"])
+            forget()
+            lists = batch.column(1)
+            row = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False))
+            at, step, times = (x.to_numpy(zero_copy_only=False).astype(np.int64) for x in lists.flatten().flatten())
+            row, lo, hi = merged_spans(row, at, step, times, n)
+            bounds = np.searchsorted(row, np.arange(len(lists) + 1)).astype(np.int32)
+            spans = pa.StructArray.from_arrays([pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32))], names=["start", "end"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(bounds), spans)], names=["doc_id", "spans"])
 
     return run
 

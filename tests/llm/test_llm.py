@@ -85,6 +85,23 @@ def test_progressions():
     assert [len(x) for x in progressions(*(np.zeros(0, int),) * 4)] == [0, 0, 0]
 
 
+def test_merged_spans():
+    from orrery.llm.substring_dedup import merged_spans
+
+    rng = np.random.default_rng(5)
+    for _ in range(300):
+        n, m = int(rng.choice([1, 3, 5])), int(rng.integers(0, 9))
+        row, at, step, times = rng.integers(0, 3, m), rng.integers(0, 30, m), rng.integers(1, 9, m), rng.integers(1, 4, m)
+        covered = sorted({(r, a + k * s + j) for r, a, s, t in zip(row.tolist(), at.tolist(), step.tolist(), times.tolist()) for k in range(t) for j in range(n)})
+        want = []
+        for r, w in covered:
+            if want and want[-1][0] == r and want[-1][2] == w:
+                want[-1][2] = w + 1
+            else:
+                want.append([r, w, w + 1])
+        assert [list(x) for x in zip(*(x.tolist() for x in merged_spans(row, at, step, times, n)))] == want
+
+
 def test_substring_periodic(spark):
     """Lines that one document repeats, near and far apart, and other documents share."""
     from orrery.llm.substring_dedup import remove_spans, repeated_spans
