@@ -124,3 +124,20 @@ def peak_score(peak: Column, x0: Column, x1: Column, size: int) -> Column:
     """1 for a peak inside the window, falling with the distance from its centre."""
     away = F.abs(peak - (x0 + x1) / 2.0) / float(max(1, size))
     return F.when(peak.between(x0, x1), 1.0).otherwise(F.greatest(F.lit(0.0), 1.0 - away))
+
+
+def padded_bounds(bounds: list[Column], width: Column, height: Column, share: float, least: int = 0, most: int | None = None) -> list[Column]:
+    """Bounds (half open) widened on every side by a share of their longer side, within the image; a null bound gives the whole image."""
+    x0, y0, x1, y1 = bounds
+    pad = F.greatest(F.bround(F.greatest(x1 - x0, y1 - y0) * share).cast("long"), F.lit(least).cast("long"))
+    pad = pad if most is None else F.least(pad, F.lit(most).cast("long"))
+    zero = F.lit(0)
+    grown = [F.greatest(zero, x0 - pad), F.greatest(zero, y0 - pad), F.least(width, x1 + pad), F.least(height, y1 + pad)]
+    known = x0.isNotNull() & (grown[2] > grown[0]) & (grown[3] > grown[1])
+    return [F.when(known, c).otherwise(whole) for c, whole in zip(grown, (zero, zero, width, height))]
+
+
+def shifted_window(w: list[Column], shift: Column) -> list[Column]:
+    """The window in an image before it is moved down by ``shift``: the same content without moving the image."""
+    down = F.coalesce(F.bround(shift).cast("long"), F.lit(0))
+    return [w[0], w[1] - down, w[2], w[3] - down]
