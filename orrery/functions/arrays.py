@@ -110,3 +110,34 @@ def centroid(a: Column) -> Column:
     up = F.transform(a, lambda x: F.greatest(F.lit(0.0), F.nanvl(x, F.lit(0.0))))
     placed = F.transform(up, lambda x, i: x * i)
     return F.when(total(up) > 1e-8, total(placed) / total(up))
+
+
+def whole_levels(a: Column, inverted: Column | bool = False, most: int = 65535) -> Column:
+    """Whole numbers 0..most between an array's ends, half to even; values that aren't finite count as the least, a flat array gives zeros."""
+
+    def finite(x: Column) -> Column:
+        return ~F.isnan(x) & (F.abs(x) < float("inf"))
+
+    def scaled(least: Column) -> Column:
+        filled = F.transform(a, lambda x: F.when(finite(x), x).otherwise(least))
+        turned = F.when(F.lit(inverted) if isinstance(inverted, bool) else inverted, invert(filled)).otherwise(filled)
+        return F.transform(min_max(turned), lambda x: F.rint(x * most).cast("int"))
+
+    return let(F.array_min(F.filter(a, finite)), scaled)
+
+
+def window_of(a: Column, width: Column, x0: Column, y0: Column, size: int, pad: Column) -> Column:
+    """The square window of an image in rows of ``width``, row by row; places outside the image hold ``pad``."""
+    height = F.floor(F.size(a) / width)
+    steps = F.sequence(F.lit(0), F.lit(size - 1))
+
+    def at(x: Column, y: Column) -> Column:
+        inside = (x >= 0) & (x < width) & (y >= 0) & (y < height)
+        return F.when(inside, F.get(a, (y * width + x).cast("int"))).otherwise(pad)
+
+    return F.flatten(F.transform(steps, lambda j: F.transform(steps, lambda i: at(x0 + i, y0 + j))))
+
+
+def share_in_window(mask: Column, width: Column, x0: Column, y0: Column, size: int) -> Column:
+    """Pixels of a mask in a window as a share of the whole window, also where that leaves the image."""
+    return F.size(F.filter(window_of(mask, width, x0, y0, size, F.lit(False)), lambda m: m)) / float(max(1, size * size))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from orrery.functions import arrays as R
+from orrery.functions import frames as FR
 from orrery.functions import geometry as G
 from orrery.functions import pixels as P
 from orrery.operators import files as L
@@ -117,3 +119,51 @@ def counterpart_window(spark, sf):
     s = src(spark, sf).withColumn("shift", F.col("w") * 0.25 - 200.5)
     w = G.shifted_window([F.lit(0), F.lit(100), F.lit(640), F.lit(740)], F.col("shift"))
     return s.select("image_id", w[1].alias("y0"), w[3].alias("y1"))
+
+
+# ---- sizes, windows and channels -------------------------------------------------------------------
+
+
+@register(f"""with {_E}, t as (select ty, tx from range(3) a(ty), range(5) b(tx)),
+p as (select vec_id, ty, tx, v, greatest(0, least(y + 1, (ty + 1) * 8 / 3.0) - greatest(y, ty * 8 / 3.0)) * greatest(0, least(x + 1, (tx + 1) * 8 / 5.0) - greatest(x, tx * 8 / 5.0)) as share from e, t)
+select vec_id, cast(ty * 5 + tx as integer) as place, round(sum(v * cast(share as double)) * 15 / 64, 6) as value from p group by vec_id, ty, tx""")
+def image_area_resize(spark, sf):
+    """Every image at three by five pixels, each the mean of its area."""
+    r = table(spark, sf, "embeddings").select("vec_id", F.posexplode(FR.resized(F.col("embedding"), F.lit(8), 3, 5)).alias("place", "value"))
+    return r.select("vec_id", "place", F.round("value", 6).alias("value"))
+
+
+@register(f"""with {_E}, c as (select vec_id, label % 9 - 2 as x0, vec_id % 9 - 3 as y0 from embeddings), g as (select c.*, j, i from c, range(4) a(j), range(4) b(i))
+select g.vec_id, cast(j * 4 + g.i as integer) as place, coalesce(round(v, 6), -1) as value, round(count(*) filter (v > 0) over (partition by g.vec_id) / 16.0, 6) as share from g left join e on e.vec_id = g.vec_id and x = x0 + g.i and y = y0 + j""")
+def image_windows(spark, sf):
+    """A window of four by four of every image, padded where it leaves the image, and the share of it that a mask fills."""
+    e = table(spark, sf, "embeddings").withColumn("x0", F.col("label") % 9 - 2).withColumn("y0", F.col("vec_id") % 9 - 3)
+    window = R.window_of(F.transform("embedding", lambda v: v.cast("double")), F.lit(8), F.col("x0"), F.col("y0"), 4, F.lit(-1.0))
+    share = R.share_in_window(F.transform("embedding", lambda v: v > 0), F.lit(8), F.col("x0"), F.col("y0"), 4)
+    out = e.select("vec_id", F.round(share, 6).alias("share"), F.posexplode(window).alias("place", "value"))
+    return out.select("vec_id", "place", F.round("value", 6).alias("value"), "share")
+
+
+@register(f"""with {_E}, r as (select vec_id, min(v) as lo, max(v) as hi from e group by vec_id)
+select vec_id, cast(i as integer) as place, cast(round_even(((case when label = 0 then hi + lo - v else v end) - lo) / (hi - lo) * 65535, 0) as integer) as level from e join r using (vec_id) join (select vec_id, label from embeddings) l using (vec_id)""")
+def image_levels(spark, sf):
+    """16-bit levels of every image, those of label 0 with light and dark exchanged."""
+    a = F.transform("embedding", lambda v: v.cast("double"))
+    return table(spark, sf, "embeddings").select("vec_id", F.posexplode(R.whole_levels(a, F.col("label") == 0)).alias("place", "level"))
+
+
+@register(f"""with {_E}, q as (select vec_id, i, v, label, min(v) over (partition by vec_id) as lo, max(v) over (partition by vec_id) as hi from e join (select vec_id, label from embeddings) l using (vec_id))
+select vec_id, cast(i as integer) as place, round(v, 6) as r, round(case when label = 0 then 1 - (v - lo) / (hi - lo) else ln(1 + 5 * (v - lo) / (hi - lo)) / ln(6) end, 6) as g, case when label = 0 then '' else 'g' end as fallback
+from (select vec_id, i, v, label, lo, hi from q where label <> 0 union all select vec_id, i, -v, label, -hi, -lo from q where label = 0) x""")
+def image_channels(spark, sf):
+    """Two channels by their own chains; the second one's source is there for label 0 alone, elsewhere the first one's replaces it."""
+    e = table(spark, sf, "embeddings")
+    same = F.transform("embedding", lambda v: v.cast("double"))
+    turned = F.transform(same, lambda v: -v)
+    current = F.when(F.col("label") == 0, turned).otherwise(same)
+    other = F.when(F.col("label") == 0, turned)
+    made = FR.channels({"current": current, "other": other}, F.lit(8), {"r": ("current", []), "g": ("other", [("invert", {})])}, "current")
+    plain = FR.channels({"current": current}, F.lit(8), {"g": ("current", [("log", {})])}, "current")
+    out = e.select("vec_id", "label", made.alias("m"), plain.alias("p"))
+    out = out.select("vec_id", F.array_join("m.fallback", ",").alias("fallback"), F.posexplode(F.arrays_zip(F.col("m.r").alias("r"), F.when(F.col("label") == 0, F.col("m.g")).otherwise(F.col("p.g")).alias("g"))).alias("place", "z"))
+    return out.select("vec_id", "place", F.round("z.r", 6).alias("r"), F.round("z.g", 6).alias("g"), "fallback")
