@@ -734,4 +734,4 @@ def count_matched_split(spark: SparkSession, sf: str) -> DataFrame:
     return S.count_matched_sample(images, "study_id", "stratum", 100, 1000, 123)
 
 
-from orrery.plans import extended, imaging  # noqa: E402,F401  (register their queries)
+from orrery.plans import extended, imaging, runs  # noqa: E402,F401  (register their queries)
