@@ -2,9 +2,9 @@
 
 An operation takes (image, mask, options) in float64 and returns an image of that shape. The mask marks the
 pixels that statistics are taken from; without one, or with an empty one, all finite pixels count. Values that
-aren't finite become 0 first. ``image_steps`` runs a chain over arrays in Arrow batches, a row an image, so a
-task holds one batch (Spark bounds its rows by spark.sql.execution.arrow.maxRecordsPerBatch; set that to a few
-for full-size images). Operations on single values alone also exist as Columns in ``arrays``.
+aren't finite become 0 first. ``image_steps`` runs a chain over arrays in Arrow batches, a row an image. Spark closes
+a batch at 64 MB (spark.sql.execution.arrow.maxBytesPerBatch) or 10,000 rows, so a task holds one batch and an image's
+neighbourhoods, a row over the limit alone. Operations on single values alone also exist as Columns in ``arrays``.
 """
 
 from __future__ import annotations
