@@ -85,16 +85,25 @@ def contralateral(df: DataFrame, study: str, view: str, side: str, row_id: str)
     return flipped.join(other, [study, view, "_side"], "left").drop("_side")
 
 
+def _seen(pairs: DataFrame, least: float) -> DataFrame:
+    w, b = [F.col(c) for c in ("x0", "y0", "x1", "y1")], [F.col(c) for c in ("bx0", "by0", "bx1", "by1")]
+    if least > 0:
+        pairs = pairs.where((b[0] < w[2]) & (b[2] > w[0]) & (b[1] < w[3]) & (b[3] > w[1]))
+    return pairs.withColumn("visible", G.visible_fraction(b, w)).where(F.col("visible") >= least)
+
+
 def window_boxes(windows: DataFrame, boxes: DataFrame, key: str, least: float = 0.0) -> DataFrame:
     """Windows by the boxes of the same image, with the visible fraction.
 
-    An equi-join on the image; with a positive bound only boxes that meet the window remain.
+    An equi-join on the image; with a positive bound only boxes that meet the window remain. Both sides shuffle:
+    Spark takes exploded windows for as few as their images, and would broadcast them.
     """
-    w, b = [F.col(c) for c in ("x0", "y0", "x1", "y1")], [F.col(c) for c in ("bx0", "by0", "bx1", "by1")]
-    out = windows.join(boxes, key)
-    if least > 0:
-        out = out.where((b[0] < w[2]) & (b[2] > w[0]) & (b[1] < w[3]) & (b[3] > w[1]))
-    return out.withColumn("visible", G.visible_fraction(b, w)).where(F.col("visible") >= least)
+    return _seen(windows.hint("merge").join(boxes, key), least)
+
+
+def grid_boxes(images: DataFrame, boxes: DataFrame, key: str, width: str, height: str, size: int, stride: int, policy: str = "edge_align", least: float = 0.0) -> DataFrame:
+    """window_boxes of the images' grids; the images join, and each pair makes its windows in place, so no grid is shuffled."""
+    return _seen(G.grid(images.hint("merge").join(boxes, key), width, height, size, stride, policy), least)
 
 
 def best_match(left: DataFrame, right: DataFrame, keys: list[str], rank: list[Column], keep: list[str]) -> DataFrame:

@@ -111,7 +111,7 @@ p as (select grid.image_id, x0, y0, {_VIS} as v from grid join box using (image_
 select image_id, cast(x0 as bigint) as x0, cast(y0 as bigint) as y0, count(*) as boxes, count_if(v >= 0.5) as kept, bool_or(v > 0 and v < 1) as cuts_any, round(max(v), 9) as max_visible,
   coalesce(max(v), 0) <= 0.1 as clean from p group by all""")
 def window_box_overlap(spark, sf):
-    pairs = J.window_boxes(G.grid(src(spark, sf), "w", "h", 1024, 512), box(spark, sf), "image_id")
+    pairs = J.grid_boxes(src(spark, sf), box(spark, sf), "image_id", "w", "h", 1024, 512)
     v = F.col("visible")
     return pairs.groupBy("image_id", "x0", "y0").agg(F.count("*").alias("boxes"), F.count_if(v >= 0.5).alias("kept"), F.bool_or((v > 0) & (v < 1)).alias("cuts_any"), F.round(F.max(v), 9).alias("max_visible"), (F.max(v) <= 0.1).alias("clean"))
 
@@ -168,7 +168,7 @@ select grid.image_id, cast(x0 as bigint) as x0, cast(y0 as bigint) as y0, catego
   greatest(bx0, x0) - x0 as lx0, greatest(by0, y0) - y0 as ly0, least(bx1, x1) - x0 as lx1, least(by1, y1) - y0 as ly1
 from grid join box on grid.image_id = box.image_id and {_VIS} >= 0.5""")
 def lazy_annotations(spark, sf):
-    pairs = J.window_boxes(G.grid(src(spark, sf), "w", "h", 640, 512, "regular_stride_pad"), box(spark, sf), "image_id", 0.5)
+    pairs = J.grid_boxes(src(spark, sf), box(spark, sf), "image_id", "w", "h", 640, 512, "regular_stride_pad", 0.5)
     o, x, y = G.overlap(bcols(), wcols()), F.col("x0"), F.col("y0")
     return pairs.select("image_id", "x0", "y0", "category", "line", F.round("visible", 9).alias("visible"), (o[0] - x).alias("lx0"), (o[1] - y).alias("ly0"), (o[2] - x).alias("lx1"), (o[3] - y).alias("ly1"))
 
@@ -184,7 +184,7 @@ def grid_row_estimate(spark, sf):
 @register(f"""with {SRC}, {BOX}, {_grid_sql(1024, 512, "edge_align")}
 select grid.image_id, cast(x0 as bigint) as x0, cast(y0 as bigint) as y0, bool_and(bx0 >= x0 + 16 and by0 >= y0 + 16 and bx1 <= x1 - 16 and by1 <= y1 - 16) as all_safe from grid join box using (image_id) group by all""")
 def bbox_safe_windows(spark, sf):
-    pairs = J.window_boxes(G.grid(src(spark, sf), "w", "h", 1024, 512), box(spark, sf), "image_id")
+    pairs = J.grid_boxes(src(spark, sf), box(spark, sf), "image_id", "w", "h", 1024, 512)
     return pairs.groupBy("image_id", "x0", "y0").agg(F.bool_and(G.inside(bcols(), wcols(), 16)).alias("all_safe"))
 
 
