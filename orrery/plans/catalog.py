@@ -117,13 +117,13 @@ def window_box_overlap(spark, sf):
 
 
 def candidates(spark, sf, size=640, stride=512, least=0.5, extent=0.1, boxes=None):
-    """Windows with label, extent and eligibility; the join is within an image."""
+    """Windows with label, extent and eligibility; the joins are within an image, and none broadcasts."""
     boxes = box(spark, sf) if boxes is None else boxes
-    windows = G.grid(src(spark, sf), "w", "h", size, stride, "regular_stride_pad")
-    pairs = J.window_boxes(windows, boxes, "image_id", least)
-    hits = pairs.groupBy("image_id", "x0", "y0").agg(F.count("*").alias("n_boxes"))
+    hits = J.grid_boxes(src(spark, sf), boxes, "image_id", "w", "h", size, stride, "regular_stride_pad", least).groupBy("image_id", "x0", "y0").agg(F.count("*").alias("n_boxes"))
     mass = boxes.select("image_id").distinct().withColumn("image_has_mass", F.lit(True))
-    out = windows.join(hits, ["image_id", "x0", "y0"], "left").join(mass, "image_id", "left").na.fill(0, ["n_boxes"]).na.fill(False, ["image_has_mass"])
+    images = src(spark, sf).join(mass.hint("merge"), "image_id", "left").na.fill(False, ["image_has_mass"])
+    windows = G.grid(images, "w", "h", size, stride, "regular_stride_pad")
+    out = windows.join(hits.hint("merge"), ["image_id", "x0", "y0"], "left").na.fill(0, ["n_boxes"])
     share = G.source_extent(wcols(), F.col("w"), F.col("h"), size)
     out = out.withColumn("positive", F.col("n_boxes") > 0).withColumn("extent", F.round(share, 9))
     return out.where(F.col("positive") | (F.col("extent") > extent)).withColumn("window_id", F.concat_ws("_", "image_id", "x0", "y0"))
