@@ -10,7 +10,7 @@ from orrery.plans import catalog, extended, runs  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 #: Queries on windows and boxes; no grid may be broadcast, however small its images are taken to be; sums of one may.
-GRIDS = ["lazy_annotations", "window_box_overlap", "bbox_safe_windows", "lazy_manifest", "positive_ratio", "negative_fraction", "best_empty_window", "patch_contract", "source_scan_summary", "split_coverage", "source_breast_ratio"]
+GRIDS = ["lazy_annotations", "window_box_overlap", "bbox_safe_windows", "lazy_manifest", "positive_ratio", "negative_fraction", "best_empty_window", "patch_contract", "source_scan_summary", "split_coverage", "source_breast_ratio", "crop_label_ratio"]
 
 
 def broadcast(df) -> list[str]:
