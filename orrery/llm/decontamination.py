@@ -4,9 +4,9 @@ Words are runs of letters and digits, ASCII folded. Passages are windows of ``wi
 ``stride`` words. Of each block of benchmark items
 
 1. the document frequencies of the items' words are counted over all documents;
-2. TF-IDF passages of the items and of a bounded sample of documents (``fit_documents`` expected, taken by a
-   hash of the id) are written to the shared folder, and a randomised SVD of them, its products summed over
-   the partitions, gives the ``rank`` leading right singular vectors, a truncated space of those words;
+2. the products of the words of each TF-IDF passage, of the items and of all documents, are summed over the
+   partitions and written to the shared folder, and a randomised SVD, which needs nothing else of the
+   passages, gives the ``rank`` leading right singular vectors, a truncated space of those words;
 3. every passage of every document is projected and its cosine with every item passage taken, in
    blocks; a passage needs ``least_words`` different weighted words of the items and ``least_share`` as many as
    the item passage it is compared with, or all of them where that has fewer;
@@ -15,7 +15,7 @@ Words are runs of letters and digits, ASCII folded. Passages are windows of ``wi
    (its last ``answer_share`` of words, or the text in ``answer_column``) at least ``least_answer`` of its own.
 
 So exact and edited copies, and paraphrases that keep ``least_lcs`` of the words in order, are found, and texts
-that share a topic only are not. The sample fits the space alone: all documents are counted and searched.
+that share a topic only are not. All documents are counted, fit the space and are searched.
 
 Defined results: null or empty texts and items give no pair; an item without a weighted word (all of its
 words are in over ``most_df`` of the documents) keeps all its words; rows with null ids are left out;
@@ -33,8 +33,8 @@ from orrery.llm.shared import Workspace
 from orrery.llm.wordhash import Words, buffers, chunks
 
 BREAKS = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
-#: Tasks of a product over the sample: their sums are as large for one passage as for many.
-FIT_TASKS = 8
+#: Pairs of words that a task sums at once, and entries of a block of the products.
+PAIRS = 1 << 20
 PAIR = "doc_id long, item_id long, cosine double, lcs double, answer double, at long"
 
 
@@ -106,18 +106,23 @@ class Passages:
         self.first, self.last = np.searchsorted(at, self.begin), np.searchsorted(at, self.end)
 
 
-def _sample(block: Items, window: int, stride: int):
-    """Rows (words) of the word indices of each passage."""
+def _of_texts(block: Items, window: int, stride: int):
+    """(sizes, word indices) of the passages of a batch of (id, text)."""
 
-    def run(batches):
-        for batch in batches:
-            for _, _, words in chunks(batch, True, text=1, breaks=BREAKS):
-                p = Passages(block, words, window, stride)
-                yield pa.RecordBatch.from_arrays([pa.array([p.k[a:b] for a, b in zip(p.first.tolist(), p.last.tolist()) if b > a], pa.list_(pa.int64()))], names=["words"])
+    def run(batch):
+        for _, _, words in chunks(batch, True, text=1, breaks=BREAKS):
+            p = Passages(block, words, window, stride)
+            size = p.last - p.first
+            yield size, p.k[np.repeat(p.first - np.cumsum(size) + size, size) + np.arange(size.sum())]
 
     return run
 
 
+def _of_lists(batch):
+    """(sizes, word indices) of a batch of lists."""
+    yield batch.column(0).value_lengths().to_numpy(zero_copy_only=False).astype(np.int64), batch.column(0).flatten().to_numpy(zero_copy_only=False)
+
+
 def unit_entries(sizes: np.ndarray, k: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, word, value) of rows of unit length, sorted by row, from the words of each row."""
     cell, times = np.unique(np.repeat(np.arange(len(sizes)), sizes) * len(weights) + k, return_counts=True)
@@ -126,49 +131,97 @@ def unit_entries(sizes: np.ndarray, k: np.ndarray, weights: np.ndarray) -> tuple
     return row, word, value / np.maximum(np.sqrt(np.bincount(row, value * value, minlength=len(sizes)))[row], 1e-12)
 
 
-def _grouped(x: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(keys, sums of x's rows) of sorted keys."""
-    head = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-    return key[head], np.add.reduceat(x, head, axis=0)
+def _summed(cell: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct cells, sums of their values)."""
+    order = np.argsort(cell, kind="stable")
+    cell, value = cell[order], value[order]
+    head = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1])))
+    return cell[head], np.add.reduceat(value, head)
 
 
-def _products(weights: np.ndarray, q: np.ndarray):
-    """Partial sums of A^T A q over the passages of a partition, in blocks of rows."""
+def _pairs(weights: np.ndarray, listed):
+    """Sums of A^T A by cell (word times words plus word, the lesser first) over the passages of a partition."""
+
+    def some(sizes, k):
+        row, word, value = unit_entries(sizes, k, weights)
+        mine = np.bincount(row, minlength=len(sizes))
+        rest = np.repeat(np.cumsum(mine), mine) - np.arange(len(row))  # entries of the row from each one on
+        first = np.repeat(np.arange(len(row)), rest)
+        other = first + np.arange(len(first)) - np.repeat(np.cumsum(rest) - rest, rest)
+        return _summed(word[first] * len(weights) + word[other], value[first] * value[other])
 
     def run(batches):
-        total = np.zeros(q.shape)
+        held, n = [], 0
         for batch in batches:
-            sizes = batch.column(0).value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-            k, ends = batch.column(0).flatten().to_numpy(zero_copy_only=False), np.concatenate(([0], np.cumsum(sizes)))
-            for lo in range(0, len(sizes), 512):
-                hi = min(lo + 512, len(sizes))
-                row, word, value = unit_entries(sizes[lo:hi], k[ends[lo] : ends[hi]], weights)
-                rows, seen = _grouped(q[word] * value[:, None], row)
-                order = np.argsort(word, kind="stable")
-                back, part = _grouped(seen[np.searchsorted(rows, row[order])] * value[order][:, None], word[order])
-                total[back] += part
-        for lo in range(0, len(total) if total.any() else 0, 1024):
-            yield pa.RecordBatch.from_arrays([pa.array([lo]), pa.array([total[lo : lo + 1024].tobytes()], pa.binary())], names=["lo", "part"])
+            for sizes, k in listed(batch):
+                total, ends = np.cumsum(sizes * (sizes + 1) // 2), np.concatenate(([0], np.cumsum(sizes)))
+                cuts = np.searchsorted(total, np.arange(PAIRS, (int(total[-1]) if len(total) else 0) + PAIRS, PAIRS), side="left") + 1
+                for lo, hi in zip(np.concatenate(([0], cuts)).tolist(), cuts.tolist()):
+                    hi = min(hi, len(sizes))
+                    if lo < hi and ends[hi] > ends[lo]:
+                        held.append(some(sizes[lo:hi], k[ends[lo] : ends[hi]]))
+                        n += len(held[-1][0])
+                    if n > 4 * PAIRS:
+                        held = [_summed(*map(np.concatenate, zip(*held)))]
+                        n = len(held[0][0])
+                    if n > 2 * PAIRS and len(held) == 1:
+                        yield from _cells(held)
+                        held, n = [], 0
+        yield from _cells(held)
 
     return run
 
 
-def _sum(key, table):
-    parts = [np.frombuffer(x, np.float64) for x in table.column("part").to_pylist()]
-    return pa.table({"lo": pa.array([key[0].as_py()]), "part": pa.array([np.sum(parts, axis=0).tobytes()], pa.binary())})
+def _cells(held: list):
+    if held:
+        cell, value = _summed(*map(np.concatenate, zip(*held)))
+        for lo in range(0, len(cell), 1 << 16):
+            yield pa.RecordBatch.from_arrays([pa.array(cell[lo : lo + (1 << 16)]), pa.array(value[lo : lo + (1 << 16)])], names=["cell", "value"])
+
+
+def _block(key, table):
+    """The cells of some rows as one row."""
+    cell, value = (np.ascontiguousarray(table.column(c).to_numpy()) for c in ("cell", "value"))
+    return pa.table({"block": pa.array([key[0].as_py()]), "cell": pa.array([cell.tobytes()], pa.binary()), "value": pa.array([value.tobytes()], pa.binary())})
+
+
+def products(passages: DataFrame, weights: np.ndarray, listed=_of_lists) -> DataFrame:
+    """A^T A of all passages of unit length, a row a block of its rows: its cells and their values."""
+    words, rows = len(weights), max(1, PAIRS // len(weights))
+    half = passages.mapInArrow(_pairs(weights, listed), "cell long, value double").groupBy("cell").agg(F.sum("value").alias("value"))
+    i, j = F.floor(F.col("cell") / words).cast("long"), F.col("cell") % words
+    both = half.select(F.explode(F.when(i == j, F.array("cell")).otherwise(F.array("cell", j * words + i))).alias("cell"), "value")
+    both = both.withColumn("block", F.floor(F.col("cell") / (words * rows)).cast("long"))
+    return both.groupBy("block").applyInArrow(_block, "block long, cell binary, value binary")
+
+
+def _times(q: np.ndarray):
+    """Rows of A^T A q, a block at a time."""
+    rows = max(1, PAIRS // len(q))
+
+    def run(batches):
+        for batch in batches:
+            for block, cell, value in zip(*(c.to_pylist() for c in batch.columns)):
+                lo = block * rows
+                dense = np.zeros((min(rows, len(q) - lo), len(q)))
+                dense.reshape(-1)[np.frombuffer(cell, np.int64) - lo * len(q)] = np.frombuffer(value, np.float64)
+                yield pa.RecordBatch.from_arrays([pa.array([lo]), pa.array([(dense @ q).tobytes()], pa.binary())], names=["lo", "part"])
+
+    return run
 
 
-def latent_basis(sample: DataFrame, weights: np.ndarray, rank: int, more: int = 16, rounds: int = 2) -> tuple[np.ndarray, np.ndarray]:
-    """((words, rank) right singular vectors, singular values) of the sample's passages by a randomised SVD.
+def latent_basis(passages: DataFrame, weights: np.ndarray, rank: int, more: int = 16, rounds: int = 2, listed=_of_lists, save=lambda df: df) -> tuple[np.ndarray, np.ndarray]:
+    """((words, rank) right singular vectors, singular values) of all passages by a randomised SVD.
 
     ``rank + more`` random directions, multiplied by A^T A ``rounds`` times, span the range; the small
-    matrix Q^T A^T A Q of one product more has the squared singular values and the rotation.
+    matrix Q^T A^T A Q of one product more has the squared singular values and the rotation. ``save`` keeps
+    A^T A between the products.
     """
     q = np.random.default_rng(11).standard_normal((len(weights), min(rank + more, len(weights))))
+    blocks = save(products(passages, weights, listed))
     for k in range(rounds + 1):
         y = np.zeros(q.shape)
-        got = sample.mapInArrow(_products(weights, q), "lo long, part binary")
-        for r in got.groupBy("lo").applyInArrow(_sum, "lo long, part binary").collect():  # words of a block x directions
+        for r in blocks.select("block", "cell", "value").mapInArrow(_times(q), "lo long, part binary").collect():  # words x directions
             part = np.frombuffer(r["part"], np.float64).reshape(-1, q.shape[1])
             y[r["lo"] : r["lo"] + len(part)] = part
         if k < rounds:
@@ -282,7 +335,6 @@ def benchmark_matches(
     answer_share: float = 0.25,
     most_df: float = 0.05,
     items_at_once: int = 1000,
-    fit_documents: int = 4000,
 ) -> DataFrame:
     """(doc_id, item_id, cosine, lcs, answer, at) of every document and item that match; at: the passage's first word."""
     spark = docs.sparkSession
@@ -307,10 +359,8 @@ def benchmark_matches(
             else:
                 df[r["word"]] = r["n"]
         block.weigh(df, n_docs, most_df)
-        taken = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32)) < int((1 << 32) * min(1.0, fit_documents / max(1, n_docs)))
-        fit = docs.where(taken).unionByName(items.where((F.col("item_id") >= rows[0]["item_id"]) & (F.col("item_id") <= last)).select(F.col("item_id").alias("doc_id"), "text"))
-        sample = ws.save(fit.mapInArrow(_sample(block, window, stride), "words array<long>").repartition(FIT_TASKS), f"sample-{last}")
-        basis, _ = latent_basis(sample, block.weights, rank)
-        ws.drop(f"sample-{last}")
+        fit = docs.unionByName(items.where((F.col("item_id") >= rows[0]["item_id"]) & (F.col("item_id") <= last)).select(F.col("item_id").alias("doc_id"), "text"))
+        basis, _ = latent_basis(fit, block.weights, rank, listed=_of_texts(block, window, stride), save=lambda df, name=f"products-{last}": ws.save(df, name))
+        ws.drop(f"products-{last}")
         if basis.shape[1]:
             out = out.unionByName(docs.mapInArrow(_search(block, basis, p), PAIR))

@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
 SF = "/root/testdata/sf0.001"
@@ -473,3 +474,42 @@ def test_empty_tables_and_clashing_columns(spark):
             assert sorted(map(repr, Q.QUERIES[name](spark, SF).collect())) == want, name
     finally:
         Q._table = real
+
+
+def test_products_of_all_passages(spark, docs):
+    """A^T A over every passage of every text, whole and cut into small sums, against the dense product."""
+    from orrery.llm import decontamination as D
+
+    rng = np.random.default_rng(4)
+    weights = np.where(rng.random(50) < 0.1, 0.0, rng.random(50) + 0.1)
+    lists = [rng.integers(0, 50, rng.integers(0, 30)).tolist() for _ in range(400)] + [[], [7], [3, 3, 3]]
+    row, word, value = D.unit_entries(np.array([len(x) for x in lists]), np.concatenate([np.array(x, np.int64) for x in lists]), weights)
+    a = np.zeros((len(lists), 50))
+    a[row, word] = value
+    df = spark.createDataFrame([(x,) for x in lists], "words array<long>").repartition(3)
+    got = np.zeros((50, 50))
+    for r in D.products(df, weights).collect():
+        got.reshape(-1)[np.frombuffer(r["cell"], np.int64)] = np.frombuffer(r["value"], np.float64)
+    assert np.allclose(got, a.T @ a)
+    batch = pa.RecordBatch.from_arrays([pa.array(lists, pa.list_(pa.int64()))], names=["words"])
+    most, D.PAIRS = D.PAIRS, 64
+    try:
+        got = np.zeros((50, 50))
+        for out in D._pairs(weights, D._of_lists)([batch]):
+            np.add.at(got.reshape(-1), out.column(0).to_numpy(), out.column(1).to_numpy())
+    finally:
+        D.PAIRS = most
+    assert np.allclose(got, np.triu(a.T @ a))
+
+
+def test_every_document_fits_the_space(spark, monkeypatch):
+    """The passages that make the space are those of all documents and items."""
+    from orrery.llm import decontamination as D
+
+    seen = []
+    fitted = D.latent_basis
+    monkeypatch.setattr(D, "latent_basis", lambda passages, *a, **b: seen.append(passages.count()) or fitted(passages, *a, **b))
+    docs = spark.range(9000).selectExpr("id as doc_id", "concat('alpha beta gamma delta epsilon w', id % 50) as text")
+    items = spark.createDataFrame([(1, "alpha beta gamma delta epsilon w3 zeta eta"), (2, None)], "item_id long, text string")
+    D.benchmark_matches(docs, items).count()
+    assert seen == [9002]
