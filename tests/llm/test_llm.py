@@ -513,3 +513,17 @@ def test_every_document_fits_the_space(spark, monkeypatch):
     items = spark.createDataFrame([(1, "alpha beta gamma delta epsilon w3 zeta eta"), (2, None)], "item_id long, text string")
     D.benchmark_matches(docs, items).count()
     assert seen == [9002]
+
+
+def test_pipeline_fits_on_all_documents(spark, monkeypatch):
+    """The pipeline's decontamination makes its space from every passage of its documents and the benchmark."""
+    import corpus_pipeline
+
+    from orrery.llm import decontamination as D
+
+    seen = []
+    fitted = D.latent_basis
+    monkeypatch.setattr(D, "latent_basis", lambda passages, *a, **b: seen.append(passages.count()) or fitted(passages, *a, **b))
+    docs = spark.range(6000).selectExpr("id as doc_id", "concat('alpha beta gamma delta w', id % 50) as text")
+    assert corpus_pipeline.decontamination(spark, docs, SF).count() == 6000
+    assert seen == [6000 + spark.read.parquet(f"{SF}/benchmark.parquet").count()]
