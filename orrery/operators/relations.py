@@ -106,6 +106,21 @@ def grid_boxes(images: DataFrame, boxes: DataFrame, key: str, width: str, height
     return _seen(G.grid(images.hint("merge").join(boxes, key), width, height, size, stride, policy), least)
 
 
+def hits_by_image(images: DataFrame, boxes: DataFrame, key: str, width: str, height: str, size: int, stride: int, policy: str, least: float) -> DataFrame:
+    """(key, hits): the windows of the image's grid that hold boxes, with their number; a row an image, so hits need no shuffle of windows.
+
+    An image's map has an entry a window at most, however many boxes it has.
+    """
+    found = grid_boxes(images.select(key, width, height), boxes.select(key, "bx0", "by0", "bx1", "by1"), key, width, height, size, stride, policy, least)
+    found = found.groupBy(key, "x0", "y0").agg(F.count("*").alias("n"))
+    return found.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct(F.struct("x0", "y0"), "n"))).alias("hits"))
+
+
+def hits_of(hits: str, x0: Column, y0: Column) -> Column:
+    """Boxes in a window, from the map of its image."""
+    return F.coalesce(F.try_element_at(F.col(hits), F.struct(x0.alias("x0"), y0.alias("y0"))), F.lit(0).cast("long"))
+
+
 def best_match(left: DataFrame, right: DataFrame, keys: list[str], rank: list[Column], keep: list[str]) -> DataFrame:
     """Left rows with the best ranked right row of their key; rank breaks all ties."""
     best = first_per_key(right, keys, rank).select(*keys, *keep)

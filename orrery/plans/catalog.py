@@ -116,14 +116,14 @@ def window_box_overlap(spark, sf):
     return pairs.groupBy("image_id", "x0", "y0").agg(F.count("*").alias("boxes"), F.count_if(v >= 0.5).alias("kept"), F.bool_or((v > 0) & (v < 1)).alias("cuts_any"), F.round(F.max(v), 9).alias("max_visible"), (F.max(v) <= 0.1).alias("clean"))
 
 
-def candidates(spark, sf, size=640, stride=512, least=0.5, extent=0.1, boxes=None):
-    """Windows with label, extent and eligibility; the joins are within an image, and none broadcasts."""
+def candidates(spark, sf, size=640, stride=512, least=0.5, extent=0.1, boxes=None, images=None):
+    """Windows with label, extent and eligibility; images and boxes are dealt by image, and no window is."""
     boxes = box(spark, sf) if boxes is None else boxes
-    hits = J.grid_boxes(src(spark, sf), boxes, "image_id", "w", "h", size, stride, "regular_stride_pad", least).groupBy("image_id", "x0", "y0").agg(F.count("*").alias("n_boxes"))
+    images = src(spark, sf) if images is None else images
     mass = boxes.select("image_id").distinct().withColumn("image_has_mass", F.lit(True))
-    images = src(spark, sf).join(mass.hint("merge"), "image_id", "left").na.fill(False, ["image_has_mass"])
-    windows = G.grid(images, "w", "h", size, stride, "regular_stride_pad")
-    out = windows.join(hits.hint("merge"), ["image_id", "x0", "y0"], "left").na.fill(0, ["n_boxes"])
+    hits = J.hits_by_image(src(spark, sf), boxes, "image_id", "w", "h", size, stride, "regular_stride_pad", least)
+    images = images.join(mass.hint("merge"), "image_id", "left").join(hits.hint("merge"), "image_id", "left").na.fill(False, ["image_has_mass"])
+    out = G.grid(images, "w", "h", size, stride, "regular_stride_pad").withColumn("n_boxes", J.hits_of("hits", F.col("x0"), F.col("y0"))).drop("hits")
     share = G.source_extent(wcols(), F.col("w"), F.col("h"), size)
     out = out.withColumn("positive", F.col("n_boxes") > 0).withColumn("extent", F.round(share, 9))
     return out.where(F.col("positive") | (F.col("extent") > extent)).withColumn("window_id", F.concat_ws("_", "image_id", "x0", "y0"))

@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from orrery.functions import geometry as G
 from orrery.operators import relations as J
@@ -13,12 +14,20 @@ SF = "/root/testdata/sf0.001"
 GRIDS = ["lazy_annotations", "window_box_overlap", "bbox_safe_windows", "lazy_manifest", "positive_ratio", "negative_fraction", "best_empty_window", "patch_contract", "source_scan_summary", "split_coverage", "source_breast_ratio", "crop_label_ratio"]
 
 
-def broadcast(df) -> list[str]:
-    """The plan below each broadcast, before anything has run."""
+#: Queries whose windows stay where their image is; of the samplers only the rows of one bucket are dealt, behind a broadcast.
+STAY = ["best_empty_window"]
+
+
+def below(df, node: str) -> list[str]:
+    """The plan from each such node on, before anything has run."""
     lines = df._jdf.queryExecution().executedPlan().toString().split("\n")
     depth = [len(re.match(r"[ :+-]*", x)[0]) for x in lines]
     ends = [next((j for j in range(i + 1, len(lines)) if depth[j] <= depth[i]), len(lines)) for i in range(len(lines))]
-    return ["\n".join(lines[i:j]) for i, j in enumerate(ends) if "BroadcastExchange" in lines[i]]
+    return ["\n".join(lines[i:j]) for i, j in enumerate(ends) if re.search(rf"\b{node}\b", lines[i])]
+
+
+def broadcast(df) -> list[str]:
+    return below(df, "BroadcastExchange")
 
 
 @pytest.mark.parametrize("name", GRIDS)
@@ -26,6 +35,31 @@ def test_no_grid_is_broadcast(spark, name):
     assert not [x for x in broadcast(catalog.QUERIES[name](spark, SF)) if "Generate explode" in x.split("Aggregate")[0]]
 
 
+@pytest.mark.parametrize("name", STAY)
+def test_no_window_is_dealt(spark, name):
+    for plan in below(catalog.QUERIES[name](spark, SF), "Exchange"):
+        assert "window_id" not in plan.split("\n")[0].split("ENSURE")[0]
+        assert "Generate explode" not in re.split("Aggregate|BroadcastHashJoin", plan)[0]
+
+
+def test_candidates_of_odd_images(spark):
+    """Hits by image against loops: images that repeat, are null or hold nothing, boxes of no image or without area."""
+    images = [(1, 900, 700), (1, 900, 1300), (2, 300, 200), (None, 700, 700)]
+    boxes = [(1, 10.0, 10.0, 60.0, 50.0), (1, 20.0, 10.0, 60.0, 50.0), (1, 600.0, 500.0, 700.0, 690.0), (2, 5.0, 5.0, 5.0, 5.0), (None, 1.0, 1.0, 9.0, 9.0), (9, 1.0, 1.0, 9.0, 9.0)]
+    i, b = spark.createDataFrame(images, "k long, w int, h int"), spark.createDataFrame(boxes, "k long, bx0 double, by0 double, bx1 double, by1 double")
+    grid = [tuple(r) for r in G.grid(i, "w", "h", 640, 512).select("k", "x0", "y0").collect()]
+    want = {}
+    for k, x, y in grid:
+        for n, u0, v0, u1, v1 in boxes:
+            share = max(0, min(u1, x + 640) - max(u0, x)) * max(0, min(v1, y + 640) - max(v0, y)) / max((u1 - u0) * (v1 - v0), 1e-12)
+            if k is not None and k == n and share >= 0.5:
+                want[k, x, y] = want.get((k, x, y), 0) + 1
+    hits = J.hits_by_image(i, b, "k", "w", "h", 640, 512, "edge_align", 0.5)
+    got = G.grid(i.join(hits, "k", "left"), "w", "h", 640, 512).withColumn("n", J.hits_of("hits", F.col("x0"), F.col("y0"))).collect()
+    assert sorted(((r.k or 0, r.x0, r.y0, r.n) for r in got)) == sorted((k or 0, x, y, want.get((k, x, y), 0)) for k, x, y in grid)
+    assert hits.count() == hits.select("k").distinct().count() == 1
+
+
 def test_grid_boxes(spark):
     images = [(1, 900, 700), (1, 900, 700), (2, 300, 200), (3, 1300, 640), (None, 700, 700)]  # a repeated, an empty-handed and a null image
     boxes = [(1, 10.0, 10.0, 60.0, 50.0), (1, 600.0, 500.0, 700.0, 690.0), (3, 700.0, 0.0, 900.0, 300.0), (3, 50.0, 50.0, 50.0, 50.0), (None, 1.0, 1.0, 9.0, 9.0), (9, 1.0, 1.0, 9.0, 9.0)]
