@@ -5,6 +5,8 @@ Random choices are orders by a digest of seed and key, so they don't depend on p
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -104,22 +106,35 @@ def count_matched_sample(df: DataFrame, group: str, stratum: str, groups: int, m
     return ranked.join(F.broadcast(plan), [stratum, "size"]).where("_rank <= _quota").select(group, stratum, "size")
 
 
+def with_negatives(df: DataFrame, positive: str, wanted: Callable[[Column, Column], Column], seed: int | str, key: str, within: list[str], digits: int = 3) -> DataFrame:
+    """All positives and the first ``wanted(positives, negatives)`` rows of each other label (false, null) in the seeded order, by ``within``.
+
+    Counts by label and bucket of the digest's first digits tell the bucket that holds the last wanted row; only
+    the rows of that bucket are dealt and numbered, all others stay where they are. ``within`` makes few groups, as
+    splits do: the last buckets, a row a group and label, are broadcast.
+    """
+    label, groups = F.coalesce(F.col(positive), F.lit(False)), [*within, positive]
+    d = df.withColumn("_digest", F.when(~label, seeded_order(seed, F.col(key)))).withColumn("_bucket", F.left("_digest", F.lit(digits)))
+    sizes = d.groupBy(*groups, "_bucket").agg(F.count("*").alias("_n"))
+    every, before = Window.partitionBy(*within), Window.partitionBy(*groups).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    total = [F.coalesce(F.sum(F.when(c, F.col("_n"))).over(every), F.lit(0)) for c in (F.col(positive), ~F.col(positive))]
+    sizes = sizes.withColumn("_rest", wanted(*total) - F.coalesce(F.sum("_n").over(before), F.lit(0))).where(~label & (F.col("_rest") > 0))
+    last = sizes.groupBy(*groups).agg(F.max(F.struct("_bucket", "_rest")).alias("_last")).select(*[F.col(c).alias(f"_of_{c}") for c in groups], "_last")
+    d = d.join(F.broadcast(last), [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in groups], "left")
+    place = F.row_number().over(Window.partitionBy(*groups).orderBy("_digest", key))
+    cut = d.where(~label & (F.col("_bucket") == F.col("_last._bucket"))).withColumn("_place", place).where(F.col("_place") <= F.col("_last._rest"))
+    return d.where(label | (F.col("_bucket") < F.col("_last._bucket"))).select(*df.columns).unionByName(cut.select(*df.columns))
+
+
 def positive_ratio(df: DataFrame, positive: str, ratio: float, seed: int, key: str, within: list[str] | None = None, eligible: Column | None = None) -> DataFrame:
     """All positives and as many seeded negatives as make their share ``ratio``; none without positives."""
-    keys = within or []
-    ok = F.lit(True) if eligible is None else eligible
-    use = df.where(F.col(positive) | ok)
-    counts = use.groupBy(*keys).agg(F.count_if(F.col(positive)).alias("_pos"))
-    ranked = seeded_rank(use, "_rank", [*keys, positive], seed, key)
-    ranked = ranked.join(counts, keys) if keys else ranked.crossJoin(F.broadcast(counts))  # one row
-    return ranked.where((F.col("_pos") > 0) & (F.col(positive) | (F.col("_rank") <= wanted_negatives(F.col("_pos"), ratio)))).drop("_rank", "_pos")
+    use = df if eligible is None else df.where(F.col(positive) | eligible)
+    return with_negatives(use, positive, lambda pos, neg: wanted_negatives(pos, ratio), seed, key, within or [])
 
 
 def negative_fraction(df: DataFrame, positive: str, fraction: float, seed: int, key: str, within: list[str]) -> DataFrame:
     """All positives and the fraction of the negatives, rounded half to even."""
-    counts = df.groupBy(*within).agg(F.count_if(~F.col(positive)).alias("_neg"))
-    ranked = seeded_rank(df, "_rank", [*within, positive], seed, key).join(counts, within)
-    return ranked.where(F.col(positive) | (F.col("_rank") <= F.bround(F.col("_neg") * fraction))).drop("_rank", "_neg")
+    return with_negatives(df, positive, lambda pos, neg: F.bround(neg * fraction), seed, key, within)
 
 
 def ratio_mixture(mass: int, negative: int, target: float, mandatory: int = 0) -> tuple[int, int]:

@@ -1,5 +1,6 @@
 """What the plans broadcast, and joins of grids and boxes against loops."""
 
+import hashlib
 import re
 
 import pytest
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 
 from orrery.functions import geometry as G
 from orrery.operators import relations as J
+from orrery.operators import sampling as S
 from orrery.plans import catalog, extended, runs  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
@@ -15,7 +17,7 @@ GRIDS = ["lazy_annotations", "window_box_overlap", "bbox_safe_windows", "lazy_ma
 
 
 #: Queries whose windows stay where their image is; of the samplers only the rows of one bucket are dealt, behind a broadcast.
-STAY = ["best_empty_window"]
+STAY = ["best_empty_window", "positive_ratio"]
 
 
 def below(df, node: str) -> list[str]:
@@ -42,6 +44,25 @@ def test_no_window_is_dealt(spark, name):
         assert "Generate explode" not in re.split("Aggregate|BroadcastHashJoin", plan)[0]
 
 
+@pytest.mark.parametrize("digits", [1, 3])
+def test_with_negatives(spark, digits):
+    """Labels true, false and null, repeated and null keys, a group without positives, wants beyond the group, no groups."""
+    rows = [(g, f"k{n % 90}" if n % 50 else None, lab) for n in range(300) for g, lab in [(n % 3, None if n % 11 == 0 else n % 4 == 0 and n % 3 != 2)]]
+    df = spark.createDataFrame(rows, "g int, k string, p boolean")
+    place = lambda r: hashlib.md5((f"5:{r[1]}" if r[1] is not None else "5").encode()).hexdigest()
+    for within, wanted in (["g"], lambda pos, neg: pos + 7), ([], lambda pos, neg: pos - 3), (["g"], lambda pos, neg: pos + 500), (["g"], lambda pos, neg: pos * 0):
+        want = []
+        for g in {r[0] for r in rows} if within else [None]:
+            mine = [r for r in rows if g is None or r[0] == g]
+            n = wanted(sum(r[2] is True for r in mine), sum(r[2] is False for r in mine))
+            want += [r for r in mine if r[2]] + [r for label in (False, None) for r in sorted((r for r in mine if r[2] is label), key=place)[: max(0, n)]]
+        got = S.with_negatives(df, "p", wanted, 5, "k", within, digits).collect()
+        if within:
+            assert sorted(map(repr, (tuple(r) for r in got))) == sorted(map(repr, want))
+        else:  # rows of one key and two groups are tied
+            assert sorted(repr((r.k, r.p)) for r in got) == sorted(repr(r[1:]) for r in want)
+
+
 def test_candidates_of_odd_images(spark):
     """Hits by image against loops: images that repeat, are null or hold nothing, boxes of no image or without area."""
     images = [(1, 900, 700), (1, 900, 1300), (2, 300, 200), (None, 700, 700)]
