@@ -138,18 +138,27 @@ union all select 'extent_errors', split, 0, extent_errors from m where extent_er
 union all select 'orphans', split, 0, orphans from m where orphans <> 0 union all select 'sources_in_several_splits', 'all', 0, n from x where n <> 0""")
 def patch_contract(spark, sf):
     """Broken rules of a window set, recomputed from the windows themselves; an empty result is a pass."""
-    c = candidates(spark, sf).withColumn("label_error", F.col("positive") != (F.col("n_boxes") > 0))
-    m = c.groupBy("split").agg(
-        F.count_if("positive").alias("positives"), F.count_distinct("image_id").alias("sources"), F.count_distinct("study_id").alias("studies"),
-        (F.count("*") - F.count_distinct("window_id")).alias("duplicates"), F.count_if((F.col("x0") < 0) | (F.col("y0") < 0)).alias("negative_origins"),
-        F.count_if("label_error").alias("label_errors"), F.count_if((F.col("x1") - F.col("x0") != 640) | (F.col("y1") - F.col("y0") != 640)).alias("size_errors"),
-        F.count_if(F.col("extent") > 1).alias("extent_errors"), F.count_if(~F.col("positive") & (F.col("extent") <= 0.1)).alias("bypassed"),
-        F.count_if(F.col("positive") & ~F.col("image_has_mass")).alias("orphans"),
+    c = candidates(spark, sf)
+    none = {
+        "negative_origins": (F.col("x0") < 0) | (F.col("y0") < 0), "label_errors": F.col("positive") != (F.col("n_boxes") > 0),
+        "size_errors": (F.col("x1") - F.col("x0") != 640) | (F.col("y1") - F.col("y0") != 640), "extent_errors": F.col("extent") > 1,
+        "bypassed": ~F.col("positive") & (F.col("extent") <= 0.1), "orphans": F.col("positive") & ~F.col("image_has_mass"),
+    }
+    # windows stay with their image, whose id is a part of theirs: sums of its rows replace distinct counts over all windows
+    image = c.groupBy("image_id", "split").agg(
+        F.count_if("positive").alias("positives"), (F.count("*") - F.count_distinct("window_id")).alias("duplicates"), *[F.count_if(rule).alias(n) for n, rule in none.items()]
     )
-    none = ["duplicates", "negative_origins", "label_errors", "size_errors", "extent_errors", "bypassed", "orphans"]
-    rules = {"positives": (F.lit(1000), F.col("positives")), "sources": (F.col("studies"), F.col("sources"))} | {n: (F.lit(0), F.col(n)) for n in none}
-    several = c.groupBy("image_id").agg(F.count_distinct("split").alias("n")).where("n > 1").agg(F.count("*").alias("n")).withColumn("scope", F.lit("all"))
-    return V.violations(m, "split", rules).unionByName(V.violations(several, "scope", {"sources_in_several_splits": (F.lit(0), F.col("n"))}))
+    image = image.withColumn("place", F.row_number().over(Window.partitionBy("image_id").orderBy("split")))
+    m = image.rollup("split").agg(
+        F.grouping("split").alias("over_all"), F.count("image_id").alias("sources"), F.sum("positives").alias("positives"), F.count_if((F.col("place") == 2)).alias("several"),
+        F.sum("duplicates").alias("duplicates"), *[F.sum(n).alias(n) for n in none],
+    )
+    studies = c.groupBy("split").agg(F.count_distinct("study_id").alias("studies"))
+    m = m.join(studies, "split", "left").withColumn("scope", F.when(F.col("over_all") == 1, "all").otherwise(F.col("split")))
+    each = F.col("over_all") == 0
+    rules = {"positives": (F.lit(1000), F.col("positives")), "sources": (F.col("studies"), F.col("sources"))} | {n: (F.lit(0), F.col(n)) for n in ["duplicates", *none]}
+    rules = {n: (e, F.when(each, a).otherwise(e)) for n, (e, a) in rules.items()} | {"sources_in_several_splits": (F.lit(0), F.when(each, 0).otherwise(F.col("several")))}
+    return V.violations(m, "scope", rules)
 
 
 _VARIANTS = f"""{SRC}, {BOX}, v as (select image_id, split, w, h, height, height * 1.0 / h as s, cast(floor(w * (height * 1.0 / h) + 0.5) as bigint) as vw from src, (values (512), (1024)) t(height)),
