@@ -28,7 +28,7 @@ def _breast_candidates(spark, sf):
     s, boxes = src(spark, sf), box(spark, sf).where("category = 'R' and line >= 6")
     lesions = boxes.select("image_id").distinct().withColumn("hit", F.lit(True))
     breasts = s.join(lesions.hint("merge"), "image_id", "left").groupBy("study_id", "laterality").agg(F.coalesce(F.bool_or("hit"), F.lit(False)).alias("breast_has_mass"))
-    return candidates(spark, sf, boxes=boxes).join(breasts.hint("merge"), ["study_id", "laterality"])
+    return candidates(spark, sf, boxes=boxes, images=s.join(breasts.hint("merge"), ["study_id", "laterality"]))  # images are dealt by breast, not windows
 
 
 @register(f"""with {_BREAST}, p as (select split, count_if(breast_has_mass) as m, count_if(not breast_has_mass) as n, count_if(breast_has_mass and positive) as mand from b group by split),

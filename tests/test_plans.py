@@ -17,7 +17,7 @@ GRIDS = ["lazy_annotations", "window_box_overlap", "bbox_safe_windows", "lazy_ma
 
 
 #: Queries whose windows stay where their image is; of the samplers only the rows of one bucket are dealt, behind a broadcast.
-STAY = ["best_empty_window", "positive_ratio", "negative_fraction", "split_coverage", "source_scan_summary", "patch_contract"]
+STAY = ["best_empty_window", "positive_ratio", "negative_fraction", "split_coverage", "source_scan_summary", "patch_contract", "crop_label_ratio"]
 
 
 def below(df, node: str) -> list[str]:
