@@ -44,6 +44,19 @@ def test_no_window_is_dealt(spark, name):
         assert "Generate explode" not in re.split("Aggregate|BroadcastHashJoin", plan)[0]
 
 
+@pytest.mark.parametrize("name", ["source_scan_summary"])
+def test_only_sums_are_broadcast_in_a_run(spark, name):
+    """By the plan as it ran, adaptive changes included, with a threshold above every table."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1g")
+    try:
+        df = catalog.QUERIES[name](spark, SF)
+        df.collect()
+        assert "isFinalPlan=true" in df._jdf.queryExecution().executedPlan().toString()
+        assert not [x for x in broadcast(df) if re.search("Generate explode|FileScan|Scan parquet", x.split("Aggregate")[0])]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 @pytest.mark.parametrize("digits", [1, 3])
 def test_with_negatives(spark, digits):
     """Labels true, false and null, repeated and null keys, a group without positives, wants beyond the group, no groups."""
