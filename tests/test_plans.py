@@ -44,7 +44,7 @@ def test_no_window_is_dealt(spark, name):
         assert "Generate explode" not in re.split("Aggregate|BroadcastHashJoin", plan)[0]
 
 
-@pytest.mark.parametrize("name", ["source_scan_summary"])
+@pytest.mark.parametrize("name", ["source_scan_summary", "split_coverage"])
 def test_only_sums_are_broadcast_in_a_run(spark, name):
     """By the plan as it ran, adaptive changes included, with a threshold above every table."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1g")
