@@ -125,7 +125,7 @@ def candidates(spark, sf, size=640, stride=512, least=0.5, extent=0.1, boxes=Non
     images = images.join(mass.hint("merge"), "image_id", "left").join(hits.hint("merge"), "image_id", "left").na.fill(False, ["image_has_mass"])
     out = G.grid(images, "w", "h", size, stride, "regular_stride_pad").withColumn("n_boxes", J.hits_of("hits", F.col("x0"), F.col("y0"))).drop("hits")
     share = G.source_extent(wcols(), F.col("w"), F.col("h"), size)
-    out = out.withColumn("positive", F.col("n_boxes") > 0).withColumn("extent", F.round(share, 9))
+    out = out.withColumn("positive", F.col("n_boxes") > 0).withColumn("extent", F.round(share * 1e9) / 1e9)  # the SQL's ties: of the product, not of the printed digits
     return out.where(F.col("positive") | (F.col("extent") > extent)).withColumn("window_id", F.concat_ws("_", "image_id", "x0", "y0"))
 
 

@@ -3,6 +3,7 @@
 import hashlib
 import re
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -44,7 +45,7 @@ def test_no_window_is_dealt(spark, name):
         assert "Generate explode" not in re.split("Aggregate|BroadcastHashJoin", plan)[0]
 
 
-@pytest.mark.parametrize("name", ["source_scan_summary", "split_coverage"])
+@pytest.mark.parametrize("name", ["negative_fraction", "source_scan_summary", "split_coverage"])
 def test_only_sums_are_broadcast_in_a_run(spark, name):
     """By the plan as it ran, adaptive changes included, with a threshold above every table."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1g")
@@ -94,6 +95,15 @@ def test_candidates_of_odd_images(spark):
     assert hits.count() == hits.select("k").distinct().count() == 1
 
 
+def test_extent_is_rounded_as_in_sql(spark):
+    """Images with windows whose share has a 5 as its tenth and last digit."""
+    images = [(k, "val", 600 + k * 37 % 1900, 700 + k * 53 % 1700) for k in (6516, 8252, 8644, 8808, 11064)]
+    rows = catalog.candidates(spark, SF, images=spark.createDataFrame(images, "image_id long, split string, w long, h long")).collect()
+    pixels = [(min(r.x1, r.w) - r.x0) * (min(r.y1, r.h) - r.y0) for r in rows]
+    want = duckdb.execute("select list(round(p / 409600.0, 9) order by k) from (select unnest(?) as p, unnest(range(?)) as k)", [pixels, len(pixels)]).fetchone()[0]
+    assert [r.extent for r in rows] == want
+
+
 def test_grid_boxes(spark):
     images = [(1, 900, 700), (1, 900, 700), (2, 300, 200), (3, 1300, 640), (None, 700, 700)]  # a repeated, an empty-handed and a null image
     boxes = [(1, 10.0, 10.0, 60.0, 50.0), (1, 600.0, 500.0, 700.0, 690.0), (3, 700.0, 0.0, 900.0, 300.0), (3, 50.0, 50.0, 50.0, 50.0), (None, 1.0, 1.0, 9.0, 9.0), (9, 1.0, 1.0, 9.0, 9.0)]
